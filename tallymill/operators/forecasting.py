@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tallymill.functions.expressions import cents, mape, month_start, rmse
+from tallymill.functions.unions import union_rows
 from tallymill.session import stored
 
 # ship this module's functions with the job, so workers need no install of it
@@ -52,9 +52,9 @@ def monthly_series(lines: DataFrame, series: Column | None = None) -> DataFrame:
         cents(F.sum("sales")).alias("y")
     )
     until = F.coalesce(F.add_months(F.lead("month").over(_in_time()), -1), F.col("month"))
-    spans = sums.select(
+    spans = sums.withColumn("until", until).select(
         "series_id", "y", F.col("month").alias("seen"),
-        F.explode(F.sequence("month", until, F.expr("interval 1 month"))).alias("month"),
+        F.explode(F.sequence("month", "until", F.expr("interval 1 month"))).alias("month"),
     )
     y = F.when(F.col("month") == F.col("seen"), F.col("y")).otherwise(F.lit(0.0))
     return spans.select("series_id", "month", y.alias("y"))
@@ -153,7 +153,7 @@ def forecast_ets(series: DataFrame, horizon: int = 6) -> DataFrame:
 
     The band is 1.96 deviations of the one-step errors either way.
     """
-    def forecast(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def forecast(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("month")
         future, spread = smooth(frame["y"].to_numpy(dtype=float), horizon)
         last = pd.Timestamp(frame["month"].iloc[-1])
@@ -284,10 +284,7 @@ MODELS: Mapping[str, Model] = {
 
 
 def union_models(series: DataFrame, models: Mapping[str, Model], horizon: int = 6) -> DataFrame:
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        (model(series, horizon) for model in models.values()),
-    )
+    return union_rows(model(series, horizon) for model in models.values())
 
 
 def holdout_split(series: DataFrame, months: int = 6) -> tuple[DataFrame, DataFrame]:

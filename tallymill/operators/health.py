@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import age_seconds
+from tallymill.functions.unions import union_rows
 
 
 def _metric(df: DataFrame, metric: str, label: Column, value: Column) -> DataFrame:
@@ -24,7 +24,7 @@ def row_count_metrics(tables: Mapping[str, DataFrame]) -> DataFrame:
         _metric(df.agg(F.count(F.lit(1)).alias("n")), "table_rows", F.lit(name), F.col("n"))
         for name, df in tables.items()
     )
-    return reduce(DataFrame.unionByName, counted)
+    return union_rows(counted)
 
 
 def freshness_metric(df: DataFrame, moment: str, as_of: Column) -> DataFrame:
@@ -52,12 +52,12 @@ def health_metrics(
     segments: DataFrame,
 ) -> DataFrame:
     """Row counts, freshness, winner error and segment sizes as (metric, label, value)."""
-    return (
-        row_count_metrics(tables)
-        .unionByName(freshness_metric(refreshed, moment, as_of))
-        .unionByName(winner_mape_metric(comparison))
-        .unionByName(segment_size_metrics(segments))
-    )
+    return union_rows([
+        row_count_metrics(tables),
+        freshness_metric(refreshed, moment, as_of),
+        winner_mape_metric(comparison),
+        segment_size_metrics(segments),
+    ])
 
 
 @dataclass(frozen=True)
@@ -107,4 +107,4 @@ def health_alerts(history: DataFrame, alerts: tuple[Alert, ...] = ALERTS) -> Dat
             F.lit(alert.name).alias("alert"), F.lit(alert.severity).alias("severity"),
             *series, "last_value", F.round("change", 4).alias("change"), firing.alias("firing"),
         ))
-    return reduce(DataFrame.unionByName, judged)
+    return union_rows(judged)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import cents, missing_as_null, percent, ratio
+from tallymill.functions.unions import union_rows
 from tallymill.operators.kpis import with_yearly_growth
 
 MONEY = "decimal(18,2)"
@@ -104,4 +105,4 @@ def forecast_vs_actual(series: DataFrame, forecast: DataFrame) -> DataFrame:
         F.col("model_name").alias("series"),
         F.col("yhat").alias("y"),
     )
-    return actual.unionByName(ahead)
+    return union_rows([actual, ahead])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import cents, month_start
+from tallymill.functions.unions import union_rows
 from tallymill.operators.quantiles import long_form, quantile_columns, value_counts
 
 
@@ -89,8 +90,7 @@ def profile_duplicates(df: DataFrame, pair: Sequence[str], ids: Sequence[str]) -
         .groupBy(F.concat(F.lit("distinct_"), "column_name").alias("measure"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    found = whole.select("m.*").unionByName(pairs.select("m.*"))
-    return found.unionByName(distinct)
+    return union_rows([whole.select("m.*"), pairs.select("m.*"), distinct])
 
 
 def _surplus(measure: str) -> Column:
@@ -108,8 +108,7 @@ def profile_numeric(df: DataFrame, *columns: str) -> DataFrame:
         F.max("value").alias("max"),
     )
     quartiles = quantile_columns(value_counts(df, columns), q1=0.25, median=0.5, q3=0.75)
-    rounded = quartiles.select("column_name", *(F.round(c, 4).alias(c) for c in ("q1", "median", "q3")))
-    return moments.join(rounded, "column_name")
+    return moments.join(quartiles, "column_name")
 
 
 def negative_values(df: DataFrame, *columns: str) -> DataFrame:

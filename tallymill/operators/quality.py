@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.functions.unions import union_rows
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -88,7 +90,7 @@ def referential_integrity(
 
 
 def _difference(left: DataFrame, right: DataFrame, total: Column) -> DataFrame:
-    sides = left.agg(total.alias("n")).unionAll(right.agg((-total).alias("n")))
+    sides = union_rows([left.agg(total.alias("n")), right.agg((-total).alias("n"))])
     return sides.agg(F.abs(F.sum("n")).alias("n"))
 
 
@@ -151,4 +153,4 @@ def segment_ordering(
 
 
 def report(*findings: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, findings)
+    return union_rows(findings)

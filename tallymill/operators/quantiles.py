@@ -77,7 +77,7 @@ def quantile_columns(counts: DataFrame, **probabilities: float) -> DataFrame:
     """One row per column with a quantile in each named output column."""
     table = quantiles(counts, list(probabilities.values()))
     return table.groupBy("column_name").agg(*(
-        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
+        F.round(F.max(F.when(F.col("probability") == p, F.col("quantile"))), 8).alias(name)
         for name, p in probabilities.items()
     ))
 
@@ -101,8 +101,8 @@ def iqr_outliers(counts: DataFrame, reach: float = 1.5) -> DataFrame:
     )
     return counted.select(
         "column_name",
-        F.round("lower_bound", 4).alias("lower_bound"),
-        F.round("upper_bound", 4).alias("upper_bound"),
+        F.round("lower_bound", 8).alias("lower_bound"),
+        F.round("upper_bound", 8).alias("upper_bound"),
         "outliers",
         F.round(100.0 * F.col("outliers") / F.col("rows"), 4).alias("outlier_pct"),
     )

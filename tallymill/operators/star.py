@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import calendar_parts, date_key
+from tallymill.functions.unions import union_rows
 from tallymill.operators.ranges import row_numbers
 
 PLACE = ("country", "region", "state", "city", "postal_code")
@@ -174,4 +175,4 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, *key: str) -> DataFrame
     fresh = rows.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*")
     for c in key:
         match = match & fresh[c].eqNullSafe(target[c])
-    return target.unionByName(fresh.join(target, match, "left_anti"))
+    return union_rows([target, fresh.join(target, match, "left_anti")])

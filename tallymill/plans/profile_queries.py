@@ -58,14 +58,14 @@ query("profile_duplicates", """
 query("profile_numeric", " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(v) AS rows, round(avg(v), 4) AS mean,
         round(stddev_samp(v), 4) AS std, min(v) AS min, max(v) AS max,
-        round(quantile_cont(v, 0.25), 4) AS q1, round(quantile_cont(v, 0.5), 4) AS median,
-        round(quantile_cont(v, 0.75), 4) AS q3
+        round(quantile_cont(v, 0.25), 8) AS q1, round(quantile_cont(v, 0.5), 8) AS median,
+        round(quantile_cont(v, 0.75), 8) AS q3
     FROM (SELECT cast({c} AS double) AS v FROM sales_lines)"""
     for c in MEASURES
 ))(lambda s: profiling.profile_numeric(s.lines(*MEASURES), *MEASURES))
 
 query("outliers_iqr", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, round(lo, 4) AS lower_bound, round(hi, 4) AS upper_bound,
+    f"""SELECT '{c}' AS column_name, round(lo, 8) AS lower_bound, round(hi, 8) AS upper_bound,
         count(*) FILTER (v < lo OR v > hi) AS outliers,
         round(100.0 * count(*) FILTER (v < lo OR v > hi) / count(*), 4) AS outlier_pct
     FROM (SELECT cast({c} AS double) AS v FROM sales_lines),

@@ -292,7 +292,7 @@ def fn_make_date(s: Source) -> DataFrame:
 
 
 @query("fn_add_months", """
-    SELECT DISTINCT date_trunc('month', order_date) AS month_start,
+    SELECT DISTINCT cast(date_trunc('month', order_date) AS date) AS month_start,
         cast(date_trunc('month', order_date) + INTERVAL 6 MONTH AS date) AS half_year_on
     FROM sales_lines
 """)

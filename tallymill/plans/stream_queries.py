@@ -18,9 +18,9 @@ def messages(s: Source) -> DataFrame:
 
     Error events come without an order id, so validation rejects them.
     """
+    # a glob, so that the table may be one file or a folder of files
     events = orders.table_source(
-        s.spark, f"{s.folder}/events.parquet", s.table("events").schema.simpleString()[7:-1]
-        .replace(":", " "),
+        s.spark, f"{s.folder}/events*.parquet", s.table("events").schema
     )
     number = F.col("event_id").cast("string")
     order = F.when(F.col("event_type") != "error", F.concat(F.lit("RT-"), number))
@@ -52,11 +52,7 @@ def landed(s: Source, stream: DataFrame, label: str) -> DataFrame:
     """Run a stream into a partitioned table and read the table."""
     path = s.scratch(label)
     orders.store_stream(stream, path, s.scratch("offsets"), DRAIN).awaitTermination()
-    return s.spark.read.schema(_schema(stream)).parquet(path)
-
-
-def _schema(df: DataFrame):
-    return df.schema
+    return s.spark.read.schema(stream.schema).parquet(path)
 
 
 def live_table(s: Source) -> DataFrame:

@@ -225,14 +225,7 @@ def load_dataframe(s: Source) -> DataFrame:
 def batch_build(s: Source) -> DataFrame:
     """The whole batch path; one row per table with its rows."""
     built = build_warehouse(s.spark, _raw_files(s), s.scratch("warehouse"))
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, df in built.items()
-    ]
-    whole = counts[0]
-    for other in counts[1:]:
-        whole = whole.unionByName(other)
-    return whole
+    return tables.row_counts(built)
 
 
 @query("batch_verify", """

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallymill.sources.tables import read_table, write_table
+from tallymill.sources.tables import read_table, row_counts, write_table
 
 # table -> the columns its served copy is sorted by
 CATALOG = {
@@ -73,12 +72,4 @@ def publish_catalog(tables: Mapping[str, DataFrame], sink: Sink) -> list[str]:
 
 def published_counts(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
     """(table_name, rows) of the files published under ``root``."""
-    counts = [
-        read_table(spark, f"{root}/{n}").agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(n).alias("table_name"), "rows")
-        for n in names
-    ]
-    whole = counts[0]
-    for other in counts[1:]:
-        whole = whole.unionByName(other)
-    return whole
+    return row_counts({n: read_table(spark, f"{root}/{n}") for n in names})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymill.functions.expressions import typed
+from tallymill.functions.unions import union_rows
 
 # Localised headers and the names they stand for.
 HEADER_NAMES = {
@@ -167,6 +168,14 @@ def read_sql(spark: SparkSession, query: str, args: Mapping | None = None, **tab
     return spark.sql(query, args=dict(args or {}), **tables)
 
 
+def row_counts(named: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, rows) of several tables."""
+    return union_rows(
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, df in named.items()
+    )
+
+
 def materialize_view(df: DataFrame, path: str) -> DataFrame:
     """Replace the stored copy of a view and read it back."""
     write_table(df, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallymill.functions.expressions import age_seconds, cents, mean
 from tallymill.sources.publish import append_jdbc
@@ -31,7 +32,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 
 
 def table_source(
-    spark: SparkSession, path: str, schema: str, format: str = "parquet", **options: str
+    spark: SparkSession, path: str, schema: StructType | str, format: str = "parquet", **options: str
 ) -> DataFrame:
     """A table as a stream: rows of new files arrive as they are added."""
     return spark.readStream.format(format).schema(schema).options(**options).load(path)
