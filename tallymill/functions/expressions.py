@@ -41,9 +41,18 @@ def percent(part: Column, whole: Column, scale: int = 2) -> Column:
     return F.round(F.lit(100.0) * ratio(part, whole), scale)
 
 
+def exact_ratio(amount: Column, count: Column, scale: int = 2) -> Column:
+    """An amount per counted thing, divided as decimals and rounded half up.
+
+    The types leave room for totals up to 10^20 and counts up to 10^13.
+    """
+    part = F.try_divide(amount.cast("decimal(24,4)"), count.cast("decimal(13,0)"))
+    return F.round(part, scale).cast("double")
+
+
 def mean(amount: Column | str, scale: int = 2) -> Column:
-    """Aggregate: the mean as exact sum over count, rounded."""
-    return F.round(ratio(F.sum(amount), F.count(amount)), scale)
+    """Aggregate: the mean of a decimal or whole-number column, rounded."""
+    return exact_ratio(F.sum(amount), F.count(amount), scale)
 
 
 def date_key(day: Column | str) -> Column:

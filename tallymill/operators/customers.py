@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import (
-    cents, mean, percent, ratio, score_text, segment_label,
+    cents, exact_ratio, mean, percent, score_text, segment_label,
 )
 from tallymill.operators.ranges import bucket_columns
 from tallymill.session import stored
@@ -43,7 +43,7 @@ def rfm_base(lines: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 
 def rfm_view(lines: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """The base with the average order value."""
-    value = F.round(ratio(F.col("monetary"), F.col("frequency")), 2)
+    value = exact_ratio(F.col("monetary"), F.col("frequency"))
     return rfm_base(lines, as_of).withColumn("avg_order_value", value)
 
 

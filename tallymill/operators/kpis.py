@@ -137,7 +137,7 @@ def repeat_purchase_rate(lines: DataFrame) -> DataFrame:
 
 def lifetime_value(rfm_view: DataFrame) -> DataFrame:
     """Average order value times number of orders."""
-    value = F.round(F.col("avg_order_value") * F.col("frequency"), 2)
+    value = cents(F.col("avg_order_value").cast("decimal(18,2)") * F.col("frequency"))
     return rfm_view.select(
         "customer_id", "avg_order_value", "frequency", value.alias("clv_proxy")
     )

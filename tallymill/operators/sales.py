@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.functions.expressions import calendar_parts, cents, mean, percent, ratio
+from tallymill.functions.expressions import calendar_parts, cents, exact_ratio, mean, percent
 
 
 def revenue() -> Column:
@@ -74,7 +74,7 @@ def executive_kpi(lines: DataFrame) -> DataFrame:
         cents(earned).alias("total_revenue"),
         cents(gained).alias("total_profit"),
         count.alias("total_orders"),
-        F.round(ratio(earned, count), 2).alias("avg_order_value"),
+        exact_ratio(earned, count).alias("avg_order_value"),
         percent(gained, earned).alias("profit_margin_pct"),
     )
 

@@ -27,13 +27,14 @@ FACT = (
 
 
 def distinct_by_key(df: DataFrame, key: str, *attributes: str) -> DataFrame:
-    """One row per non-null key: the one with the smallest attributes."""
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*attributes)).alias("_row"))
-        .select(key, "_row.*")
-    )
+    """One row per non-null key: the one with the smallest attributes.
+
+    The many lines are made distinct first, which hashes and combines before
+    the shuffle; only what is left is compared as structs, which has to sort.
+    """
+    found = df.filter(F.col(key).isNotNull()).select(key, *attributes).distinct()
+    smallest = F.min(F.struct(*attributes)).alias("_row")
+    return found.groupBy(key).agg(smallest).select(key, "_row.*")
 
 
 def surrogate_key(df: DataFrame, name: str, *natural_key: str) -> DataFrame:
@@ -172,7 +173,7 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, *key: str) -> DataFrame
     """``target`` plus the rows whose key it lacks, one row per new key."""
     others = [c for c in target.columns if c not in key]
     match = F.lit(True)
-    fresh = rows.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*")
+    fresh = rows.select(*target.columns).distinct().groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*")
     for c in key:
         match = match & fresh[c].eqNullSafe(target[c])
     return union_rows([target, fresh.join(target, match, "left_anti")])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymill.functions.expressions import percent
 from tallymill.operators import customers, kpis, marts
 from tallymill.plans.registry import Source, query
+from tallymill.plans.sql_views import half_up
 from tallymill.plans.sales_queries import doubles
 from tallymill.session import stored
 
@@ -23,13 +24,12 @@ def rfm(s: Source) -> DataFrame:
 
 
 query("customer_rfm_base", "SELECT * FROM rfm")(lambda s: customers.rfm_base(lines(s)))
-query("customer_rfm_view", """
+query("customer_rfm_view", f"""
     SELECT customer_id, customer_name, segment,
         cast(date_diff('day', max(order_date), DATE '2002-01-01') AS int) AS recency_days,
         count(DISTINCT order_id) AS frequency,
         cast(round(sum(sales), 2) AS double) AS monetary,
-        round(cast(round(sum(sales), 2) AS double) / nullif(count(DISTINCT order_id), 0), 2)
-            AS avg_order_value
+        {half_up('round(sum(sales), 2)', 'count(DISTINCT order_id)')} AS avg_order_value
     FROM sales_lines GROUP BY customer_id, customer_name, segment
 """)(lambda s: customers.rfm_view(lines(s), dt.date(2002, 1, 1)))
 query("customer_rfm", "SELECT * FROM segments")(rfm)
@@ -139,9 +139,10 @@ query("kpi_repeat_purchase_rate", """
           FROM sales_lines GROUP BY customer_id)
 """)(lambda s: kpis.repeat_purchase_rate(s.lines("customer_id", "order_id")))
 query("kpi_clv_proxy", """
-    SELECT customer_id, round(monetary / frequency, 2) AS avg_order_value, frequency,
-        round(round(monetary / frequency, 2) * frequency, 2) AS clv_proxy
-    FROM rfm
+    SELECT customer_id, cast(value AS double) / 100 AS avg_order_value, frequency,
+        cast(value * frequency AS double) / 100 AS clv_proxy
+    FROM (SELECT customer_id, frequency, (2 * cast(round(monetary * 100) AS bigint) + frequency)
+              // (2 * frequency) AS value FROM rfm)
 """)(lambda s: kpis.lifetime_value(customers.rfm_view(lines(s))))
 query("kpi_churn_flag", """
     SELECT customer_id, max(order_date) AS last_order,

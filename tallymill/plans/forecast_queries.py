@@ -38,6 +38,10 @@ def forecast(s: Source) -> DataFrame:
     return forecasting.sales_forecast(series(s), BASELINES)
 
 
+def forecast_vs_actual(monthly: DataFrame) -> DataFrame:
+    return marts.forecast_vs_actual(monthly, forecasting.sales_forecast(monthly, BASELINES))
+
+
 def comparison(s: Source) -> DataFrame:
     return forecasting.compare_models(stored_series(s), BASELINES)
 
@@ -124,7 +128,7 @@ query("forecast_vs_actual", """
     SELECT series_id, month, 'actual' AS series, y FROM series_sql
     UNION ALL
     SELECT series_id, forecast_month, model_name, yhat FROM forecast_sql WHERE is_winner
-""")(lambda s: marts.forecast_vs_actual(series(s), forecast(s)))
+""")(lambda s: forecast_vs_actual(stored_series(s)))
 query("dq_one_winner_per_month", """
     SELECT 'one_winner_per_month' AS check_name, 'sales_forecast' AS table_name,
         'is_winner' AS column_name, count(*) FILTER (w <> 1) AS failures,

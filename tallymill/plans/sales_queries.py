@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallymill.functions.expressions import cents, ratio
 from tallymill.operators import kpis, marts, sales
 from tallymill.plans.registry import Source, query
+from tallymill.plans.sql_views import half_up
 
 MONEY = ("sales", "profit")
 
@@ -49,11 +50,11 @@ query("head_n", """
 """)(lambda s: sales.revenue_by(s.lines("product_name", "sales"), "product_name")
      .orderBy(F.desc("revenue"), "product_name").limit(15))
 
-query("executive_kpi", """
+query("executive_kpi", f"""
     SELECT cast(round(sum(sales), 2) AS double) AS total_revenue,
         cast(round(sum(profit), 2) AS double) AS total_profit,
         count(DISTINCT order_id) AS total_orders,
-        round(cast(sum(sales) AS double) / count(DISTINCT order_id), 2) AS avg_order_value,
+        {half_up('sum(sales)', 'count(DISTINCT order_id)')} AS avg_order_value,
         round(100.0 * (cast(sum(profit) AS double) / nullif(cast(sum(sales) AS double), 0)), 2)
             AS profit_margin_pct
     FROM sales_lines
@@ -162,8 +163,8 @@ query("stg_top_products", """
 """)(lambda s: doubles(
     marts.stage(sales.top_products(product_lines(s)), "top_products"), "revenue", "profit"))
 
-query("kpi_avg_discount", """
-    SELECT round(cast(sum(discount) AS double) / count(*), 6) AS avg_discount FROM sales_lines
+query("kpi_avg_discount", f"""
+    SELECT {half_up('sum(discount)', 'count(*)', 6)} AS avg_discount FROM sales_lines
 """)(lambda s: kpis.average_discount(s.lines("discount")))
 
 query("kpi_mom_growth", """
@@ -189,7 +190,11 @@ query("kpi_bottom_products", """
 """)(lambda s: sales.bottom_products(product_lines(s)))
 
 query("kpi_discount_sensitivity", """
-    SELECT product_id, n AS lines,
+    SELECT product_id, lines,
+        CASE WHEN corr_quantity = 0 THEN 0.0 ELSE corr_quantity END AS corr_quantity,
+        CASE WHEN quantity_slope = 0 THEN 0.0 ELSE quantity_slope END AS quantity_slope,
+        CASE WHEN profit_slope = 0 THEN 0.0 ELSE profit_slope END AS profit_slope
+    FROM (SELECT product_id, n AS lines,
         round(cast(n * xy - x * y AS double)
             / nullif(sqrt(cast(n * xx - x * x AS double))
                 * sqrt(cast(n * yy - y * y AS double)), 0), 4) AS corr_quantity,
@@ -201,7 +206,7 @@ query("kpi_discount_sensitivity", """
               sum(x * x) AS xx, sum(y * y) AS yy, sum(x * y) AS xy, sum(x * z) AS xz
           FROM (SELECT product_id, cast(discount * 10000 AS bigint) AS x, quantity AS y,
                     cast(profit * 10000 AS bigint) AS z FROM sales_lines)
-          GROUP BY product_id)
+          GROUP BY product_id))
 """)(lambda s: kpis.discount_sensitivity(s.lines("product_id", "discount", "quantity", "profit")))
 
 query("kpi_revenue_by_segment", """

@@ -4,12 +4,22 @@
 inside and doubles when served, as in the operators.
 """
 
+
+
+def half_up(amount: str, count: str, places: int = 2) -> str:
+    """``amount / count`` rounded half up in whole numbers, as a double."""
+    whole = f"cast(cast({amount} AS decimal(24,4)) * 10000 AS hugeint)"
+    parts = f"(cast({count} AS hugeint) * 10000)"
+    scaled = f"(2 * abs({whole}) * {10**places} + {parts}) // (2 * {parts})"
+    return f"cast(sign({whole}) * ({scaled}) AS double) / {10**places}"
+
+
 VIEWS = {
     "sales_lines": """
         SELECT
             row_number() OVER (
                 PARTITION BY l_orderkey
-                ORDER BY (l_partkey + l_suppkey + l_linenumber) % 64, l_partkey, l_suppkey,
+                ORDER BY (l_partkey + l_suppkey + l_linenumber) % 4096, l_partkey, l_suppkey,
                     l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
                     l_returnflag, l_linestatus, l_shipdate
             ) AS row_id,
@@ -43,7 +53,7 @@ VIEWS = {
         JOIN region ON n_regionkey = r_regionkey
         JOIN part ON l_partkey = p_partkey
     """,
-    "months": """
+    "months": f"""
         SELECT
             cast(year(order_date) AS int) AS year,
             cast(month(order_date) AS int) AS month,
@@ -51,7 +61,7 @@ VIEWS = {
             cast(round(sum(sales), 2) AS double) AS revenue,
             cast(round(sum(profit), 2) AS double) AS profit,
             count(DISTINCT order_id) AS orders,
-            round(cast(sum(sales) AS double) / count(sales), 2) AS avg_line_value
+            {half_up('sum(sales)', 'count(sales)')} AS avg_line_value
         FROM sales_lines
         GROUP BY 1, 2, 3
     """,
@@ -105,12 +115,11 @@ VIEWS = {
             END AS cluster_label
         FROM scores
     """,
-    "segment_stats": """
+    "segment_stats": f"""
         SELECT cluster_label, count(*) AS customers,
-            round(cast(sum(recency_days) AS double) / count(*), 1) AS avg_recency_days,
-            round(cast(sum(frequency) AS double) / count(*), 2) AS avg_frequency,
-            round(cast(sum(cast(monetary AS decimal(18,2))) AS double) / count(*), 2)
-                AS avg_monetary,
+            {half_up('sum(recency_days)', 'count(*)', 1)} AS avg_recency_days,
+            {half_up('sum(frequency)', 'count(*)')} AS avg_frequency,
+            {half_up('sum(cast(monetary AS decimal(18,2)))', 'count(*)')} AS avg_monetary,
             cast(sum(cast(monetary AS decimal(18,2))) AS double) AS total_monetary
         FROM segments GROUP BY cluster_label
     """,
@@ -251,12 +260,11 @@ VIEWS = {
             value AS sales, value - 10 AS profit
         FROM events WHERE event_type <> 'error' AND value >= 0
     """,
-    "live_kpis": """
+    "live_kpis": f"""
         SELECT category, count(*) AS events, cast(sum(quantity) AS bigint) AS total_units,
             cast(sum(cast(sales AS decimal(14,2))) AS double) AS revenue,
             cast(sum(cast(profit AS decimal(14,2))) AS double) AS profit,
-            round(cast(sum(cast(sales AS decimal(14,2))) AS double) / count(*), 2)
-                AS avg_order_value,
+            {half_up('sum(cast(sales AS decimal(14,2)))', 'count(*)')} AS avg_order_value,
             max(event_time) AS last_event
         FROM live GROUP BY category
     """,

@@ -65,6 +65,13 @@ def latest(s: Source, result: DataFrame) -> DataFrame:
     return orders.read_latest(s.spark, path)
 
 
+def minute_rates(s: Source) -> DataFrame:
+    path = s.scratch("rates")
+    rates = orders.ingest_rate(valid(s))
+    orders.latest_result(rates, path, s.scratch("offsets"), DRAIN, "update").awaitTermination()
+    return orders.read_updates(s.spark, path, "window_start")
+
+
 def plain_time(df: DataFrame, *columns: str) -> DataFrame:
     """Instants as plain UTC timestamps."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
@@ -135,7 +142,7 @@ query("stream_ingest_rate", """
     SELECT date_trunc('minute', event_time) AS window_start, count(*) AS events,
         round(count(*) / 60.0, 4) AS events_per_second
     FROM live GROUP BY 1
-""")(lambda s: plain_time(latest(s, orders.ingest_rate(valid(s))), "window_start"))
+""")(lambda s: plain_time(minute_rates(s), "window_start"))
 query("stream_lag_seconds", """
     SELECT cast(date_diff('second', date_trunc('second', max(event_time)),
         TIMESTAMP '2024-02-01 00:00:00') AS bigint) AS lag_seconds FROM live
