@@ -37,8 +37,9 @@ COLUMNS = {
     "discount": ("lineitem", "cast(l_discount AS decimal(5,4))"),
     "profit": (
         "part",
-        "cast(cast(l_extendedprice AS decimal(12,2)) * (1 - cast(l_discount AS decimal(5,2)))"
-        " - cast(p_retailprice AS decimal(12,2)) * cast(l_quantity AS decimal(6,0))"
+        # narrow enough that every step fits in 18 digits, a plain long in Spark
+        "cast(cast(l_extendedprice AS decimal(10,2)) * (1 - cast(l_discount AS decimal(3,2)))"
+        " - cast(p_retailprice AS decimal(8,2)) * cast(l_quantity AS decimal(4,0))"
         " AS decimal(12,4))",
     ),
 }
