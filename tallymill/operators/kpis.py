@@ -60,10 +60,13 @@ def year_over_year(monthly: DataFrame) -> DataFrame:
 
 def seasonality_index(monthly: DataFrame) -> DataFrame:
     """Mean revenue of each calendar month over the mean of all months."""
-    overall = monthly.agg(F.avg("revenue")).scalar()
-    return monthly.groupBy("month").agg(F.avg("revenue").alias("_mean")).select(
-        "month",
-        F.round("_mean", 2).alias("avg_revenue"),
+    amount = F.col("revenue").cast("decimal(18,2)")
+    average = ratio(F.sum(amount), F.count(amount))
+    overall = monthly.agg(average).scalar()
+    return monthly.groupBy("month").agg(
+        mean(amount).alias("avg_revenue"), average.alias("_mean")
+    ).select(
+        "month", "avg_revenue",
         F.round(ratio(F.col("_mean"), overall), 4).alias("seasonality_index"),
     )
 

@@ -229,8 +229,8 @@ query("kpi_quarterly_trend", """
         cast(round(sum(profit), 2) AS double) AS profit
     FROM sales_lines GROUP BY 1, 2
 """)(lambda s: sales.quarterly_revenue(s.lines("order_date", *MONEY)))
-query("kpi_seasonality_index", """
-    SELECT month, round(avg(revenue), 2) AS avg_revenue,
+query("kpi_seasonality_index", f"""
+    SELECT month, {half_up('sum(cast(revenue AS decimal(18,2)))', 'count(*)')} AS avg_revenue,
         round(avg(revenue) / (SELECT avg(revenue) FROM months), 4) AS seasonality_index
     FROM months GROUP BY month
 """)(lambda s: kpis.seasonality_index(monthly(s)))

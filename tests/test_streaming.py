@@ -63,6 +63,15 @@ def test_resent_events_are_dropped_within_the_watermark(spark, feed):
     assert sorted(r["event_id"] for r in land(spark, unique).collect()) == ["e1", "e2", "e3"]
 
 
+def test_a_hot_event_reaches_the_state_as_few_rows(spark):
+    rows = spark.range(30_000, numPartitions=2).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('e', id) END AS event_id", "id")
+    left = orders.drop_near_copies(rows)
+    assert left.filter("event_id <> 'hot'").count() == 20_000
+    assert 1 <= left.filter("event_id = 'hot'").count() <= 4
+    assert left.filter("event_id IS NULL").isEmpty()
+
+
 def test_serving_table_has_each_event_once(spark, feed):
     put, stream = feed
     put(event(1, 1), event(2, 2), event(1, 1))
