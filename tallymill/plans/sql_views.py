@@ -17,11 +17,10 @@ def half_up(amount: str, count: str, places: int = 2) -> str:
 VIEWS = {
     "sales_lines": """
         SELECT
-            row_number() OVER (
-                PARTITION BY l_orderkey
-                ORDER BY (l_partkey + l_suppkey + l_linenumber) % 4096, l_partkey, l_suppkey,
-                    l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-                    l_returnflag, l_linestatus, l_shipdate
+            (l_partkey + l_suppkey + l_linenumber) % 4096 * 4294967296 + row_number() OVER (
+                PARTITION BY l_orderkey, (l_partkey + l_suppkey + l_linenumber) % 4096
+                ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
             ) AS row_id,
             l_orderkey AS order_id,
             cast(o_orderdate AS date) AS order_date,

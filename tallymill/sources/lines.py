@@ -56,32 +56,19 @@ def source_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _number_lines(lines: DataFrame) -> DataFrame:
-    """Number the lines of each order from 1.
+    """Give the lines of an order numbers that tell them apart.
 
     An order may hold a large part of all lines, so it is never sorted as one
-    group: its lines are split over salts, numbered inside each salt, and
-    moved up by the number of lines in the salts before. Many salts cost an
-    ordinary order nothing, as it has no more of them than lines.
+    group: its lines are split over salts and numbered inside each salt, and
+    the salt leads the number. Many salts cost an ordinary order nothing, as
+    it has no more of them than lines.
     """
     salted = lines.withColumn(
         "_salt", F.expr(f"(l_partkey + l_suppkey + l_linenumber) % {NUMBERING_SALTS}")
     )
-    earlier = (
-        Window.partitionBy("l_orderkey").orderBy("_salt")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        salted.groupBy("l_orderkey", "_salt").count()
-        .select(
-            "l_orderkey", "_salt",
-            F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"),
-        )
-    )
     inside = Window.partitionBy("l_orderkey", "_salt").orderBy(*LINE_ORDER)
-    return (
-        salted.join(starts, ["l_orderkey", "_salt"])
-        .withColumn("row_id", F.col("_start") + F.row_number().over(inside))
-    )
+    number = F.col("_salt") * F.lit(1 << 32) + F.row_number().over(inside)
+    return salted.withColumn("row_id", number)
 
 
 def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
