@@ -98,10 +98,13 @@ query("chart_pivot", """
     SELECT state,
         round(avg(CASE WHEN region = 'AFRICA' THEN revenue END), 2) AS "AFRICA",
         round(avg(CASE WHEN region = 'AMERICA' THEN revenue END), 2) AS "AMERICA",
-        round(avg(CASE WHEN region = 'ASIA' THEN revenue END), 2) AS "ASIA"
+        round(avg(CASE WHEN region = 'ASIA' THEN revenue END), 2) AS "ASIA",
+        round(avg(CASE WHEN region = 'EUROPE' THEN revenue END), 2) AS "EUROPE",
+        round(avg(CASE WHEN region = 'MIDDLE EAST' THEN revenue END), 2) AS "MIDDLE EAST"
     FROM places GROUP BY state
 """)(lambda s: sales.chart_pivot(
-    places(s), "state", "region", "revenue", ["AFRICA", "AMERICA", "ASIA"]))
+    places(s), "state", "region", "revenue",
+    ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]))
 
 query("bronze_category_summary", """
     SELECT category, cast(round(sum(sales), 2) AS double) AS sales,

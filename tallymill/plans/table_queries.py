@@ -20,17 +20,17 @@ HEADERS = {
 
 
 @query("scan_parquet_glob", """
-    SELECT count(*) AS rows, count(n_nationkey) AS nations, count(r_regionkey) AS regions
-    FROM (SELECT n_nationkey, cast(NULL AS int) AS r_regionkey FROM nation
-          UNION ALL SELECT NULL, r_regionkey FROM region)
+    SELECT count(*) AS rows, count(o_orderkey) AS orders, count(c_custkey) AS customers
+    FROM (SELECT o_orderkey, cast(NULL AS bigint) AS c_custkey FROM orders
+          UNION ALL SELECT NULL, c_custkey FROM customer)
 """)
 def scan_parquet_glob(s: Source) -> DataFrame:
     """Two files with different columns as one table."""
-    files = (f"{s.folder}/nation.parquet", f"{s.folder}/region.parquet")
+    files = (f"{s.folder}/orders.parquet", f"{s.folder}/customer.parquet")
     both = tables.scan_parquet(s.spark, *files)
     return both.agg(
-        F.count(F.lit(1)).alias("rows"), F.count("n_nationkey").alias("nations"),
-        F.count("r_regionkey").alias("regions"),
+        F.count(F.lit(1)).alias("rows"), F.count("o_orderkey").alias("orders"),
+        F.count("c_custkey").alias("customers"),
     )
 
 
@@ -199,10 +199,10 @@ def nan_to_null(s: Source) -> DataFrame:
     )
 
 
-@query("load_dataframe", "SELECT * FROM nation")
+@query("load_dataframe", "SELECT * FROM part")
 def load_dataframe(s: Source) -> DataFrame:
     path = s.scratch("load")
-    tables.write_table(s.table("nation"), path)
+    tables.write_table(s.table("part"), path)
     return tables.read_table(s.spark, path)
 
 
