@@ -314,117 +314,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             if labels is not None:
                 found = found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
             labels = components(found)
-    if labels is None:
-        return prefix.withColumn("label", F.col("rep"))
-    named = labels.withColumnRenamed("node", "rep")
-    return prefix.join(named, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-
-
-def few_partners(prefix: DataFrame, labels: DataFrame | None, seed: int, most: int) -> DataFrame:
-    """Pairs (x, y) of different components, at most ``most`` per x: who stands next to x most often.
-
-    The sets of a rare shingle stand in a random order, long lists in parts.
-    """
-    part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col("df") / POSTING))
-    beside = Window.partitionBy("h", "part").orderBy(F.xxhash64("h", "rep", F.lit(seed)), "rep")
-    met = (
-        _labelled(prefix, labels).withColumn("part", part)
-        .withColumn("next", F.lead(F.struct("rep", "n", "label")).over(beside))
-        .filter((F.col("next.label") != F.col("label")) & _sizes_fit(F.col("n"), F.col("next.n")))
-        .select(F.col("rep").alias("x"), F.col("n").alias("nx"),
-                F.col("next.rep").alias("y"), F.col("next.n").alias("ny"))
-    )
-    often = met.groupBy("x", "nx", "y", "ny").agg(F.count(F.lit(1)).alias("times"))
-    best = Window.partitionBy("x").orderBy(F.desc("times"), "y")
-    chosen = often.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= most)
-    return chosen.select("x", "nx", "y", "ny")
-
-
-def all_partners(prefix: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Every pair of candidates in different components."""
-    left = _labelled(prefix, labels)
-    right = left.select(F.col("h"), *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "pos", "label")))
-    total = F.col("n") + F.col("n2")
-    enough = 9 * F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= 4 * total
-    match = (F.col("rep") < F.col("rep2")) & (F.col("label") != F.col("label2")) & enough
-    pairs = left.alias("l").join(right.alias("r"), (F.col("l.h") == F.col("r.h")) & match & _sizes_fit(F.col("n"), F.col("n2")))
-    return pairs.select(
-        F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("rep2").alias("y"), F.col("n2").alias("ny")
-    ).distinct()
-
-
-def linked(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The pairs (a, b) of at least 0.8, by overlaps per range summed per pair."""
-    mine = pieces.select(F.col("rep").alias("x"), "range", F.col("hashes").alias("hx"))
-    theirs = pieces.select(F.col("rep").alias("y"), "range", F.col("hashes").alias("hy"))
-    partial = pairs.join(mine, "x").join(theirs, ["y", "range"]).select(
-        "x", "y", "nx", "ny", F.size(F.array_intersect("hx", "hy")).alias("common")
-    )
-    summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common"))
-    alike = 100 * F.col("common") >= 80 * (F.col("nx") + F.col("ny") - F.col("common"))
-    return summed.filter(alike).select(F.col("x").alias("a"), F.col("y").alias("b"))
-
-
-def cut_in_ranges(sets: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """One row per set and range of the global order with a shingle in it."""
-    def work(batch: dict[str, list]) -> dict:
-        out: dict[str, list] = {"rep": [], "range": [], "hashes": []}
-        step = (1 << 64) // ranges
-        edges = np.array([i * step for i in range(1, ranges)], U64)
-        for rep, hashes in zip(batch["rep"], batch["hashes"]):
-            parts = np.split(h := np.array(hashes, np.int64), np.searchsorted(h.astype(U64), edges))
-            for k, part in enumerate(parts):
-                if len(part):
-                    for column, value in zip(out.values(), (rep, k, part)):
-                        column.append(value)
-        return out
-
-    return map_batches(sets, work, "rep long, range int, hashes array<long>")
-
-
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (smallest id reachable by links) of every document.
-
-    Words are split at ASCII white space after A-Z became a-z. Fewer than five
-    words make one shingle; NULL, empty and blank texts have none and link with
-    nothing. Rows that repeat id and text are one document, ids are otherwise
-    unique, and rows without an id come back unlinked with a NULL component.
-    No other column is read; an empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = text_rows(docs, id_col, text_col)
-    sizes = stored(set_sizes(rows).distinct(), "set-sizes")
-    named = rows.filter("doc_id IS NOT NULL")
-    classes = stored(
-        sizes.filter("doc_id IS NOT NULL AND n > 0").groupBy("d1", "d2", "n")
-        .agg(F.min("doc_id").alias("rep")), "classes",
-    )
-    least_shared = F.greatest(F.lit(1), F.floor(F.floor((4 * F.col("n") + 4) / 5) / 5))
-    left = stored(
-        promising(named, buckets).join(classes.withColumnRenamed("rep", "doc_id"), "doc_id")
-        .filter(F.col("shared") >= least_shared).select(F.col("doc_id").alias("_id")), "promising",
-    )
-    chosen = named.join(left.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = stored(sets_of(chosen).dropDuplicates(["rep"]), "sets")
-    shared = frequencies(sets, buckets).groupBy("rep").agg(
-        F.collect_list("hashes").alias("hashes"), F.collect_list("counts").alias("counts")
-    )
-    prefix = stored(prefixes(shared.join(sets.select("rep", "n"), "rep")), "prefixes")
-    kept = prefix.select(F.col("rep").alias("_rep")).distinct()
-    pieces = stored(
-        cut_in_ranges(sets.join(kept, F.col("rep") == F.col("_rep"), "left_semi")), "pieces"
-    )
-    links, labels = None, None
-    steps: list[Callable[[], DataFrame]] = [
-        *((lambda s=s: one_partner_each(prefix, labels, s)) for s in range(rounds)),
-        lambda: all_partners(prefix, labels),
-    ]
-    for pairs in steps:
-        found = stored(linked(pairs(), pieces), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
     if labels is None:
         labels = sets.select(F.col("rep").alias("node"), F.col("rep").alias("label"))
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
