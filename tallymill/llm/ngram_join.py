@@ -55,19 +55,22 @@ def _bytes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
 
 
-def _dealt(hashes: np.ndarray, owners: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, packed hashes, packed owners), by a scrambled range of the hash."""
-    bucket = ((mixed(hashes) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+def _scrambled(values: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mixed(values.astype(U64)) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+
+
+def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(bucket, the columns' values of that bucket, packed), for each bucket with any."""
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in np.flatnonzero(np.diff(cuts)):
-        own = order[cuts[b]:cuts[b + 1]]
-        yield int(b), _bytes(hashes[own]), _bytes(owners[own])
+    ordered = bucket[order]
+    starts = _runs(ordered)
+    for low, high in zip(starts[:-1], starts[1:]):
+        yield int(ordered[low]), *(_bytes(c[order[low:high]]) for c in columns)
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    columns = (b"".join(table.column(c).to_pylist()) for c in ("hashes", "owners"))
-    return tuple(np.frombuffer(c, kind) for c, kind in zip(columns, (U64, np.int64)))
+def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
+    kinds = {"hashes": U64}
+    return [np.frombuffer(b"".join(table.column(n).to_pylist()), kinds.get(n, np.int64)) for n in names]
 
 
 def _runs(ordered: np.ndarray) -> np.ndarray:
@@ -113,14 +116,14 @@ def promising(rows: DataFrame, buckets: int) -> DataFrame:
         if len(docs):
             add(1, int(docs[0]) % buckets, _bytes(counts.astype(U64)), _bytes(docs))
         sent = np.where(length > 1, -1, owners[first])  # -1: counted here already
-        for part in _dealt(hashes[first], sent, buckets):
+        for part in _dealt(_scrambled(hashes[first], buckets), hashes[first], sent):
             add(0, *part)
         return out
 
     def count(table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
-        done, own = _unpacked(table.filter(pa.array(kinds == 1)))
-        hashes, owners = _unpacked(table.filter(pa.array(kinds == 0)))
+        done, own = _unpacked(table.filter(pa.array(kinds == 1)), "hashes", "owners")
+        hashes, owners = _unpacked(table.filter(pa.array(kinds == 0)), "hashes", "owners")
         order = np.argsort(hashes, kind="stable")
         owners = owners[order]
         length = np.diff(_runs(hashes[order]))
@@ -146,55 +149,47 @@ def sets_of(rows: DataFrame) -> DataFrame:
     return map_batches(rows, work, "rep long, n long, hashes array<long>")
 
 
-def frequencies(sets: DataFrame, buckets: int) -> DataFrame:
-    """Per set and range, its shingles that other sets have too, with their frequencies."""
+def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
+    """The rare end of each set that can have a partner: (h, df, rep, n, pos).
+
+    Shingles are counted per bucket of hashes, then dealt again by set; either
+    way packed, so that the rows between the tasks do not grow with both the
+    sets and the buckets. Shingles of one set alone go no further.
+    """
     def deal(batch: dict[str, list]) -> dict:
         owners = np.repeat(np.array(batch["rep"], np.int64), batch["n"])
+        sizes = np.repeat(np.array(batch["n"], np.int64), batch["n"])
         hashes = np.concatenate([np.array(h, np.int64) for h in batch["hashes"]]).astype(U64)
-        parts = list(_dealt(hashes, owners, buckets))
-        return dict(zip(("bucket", "hashes", "owners"), map(list, zip(*parts))))
+        parts = list(_dealt(_scrambled(hashes, buckets), hashes, owners, sizes))
+        return dict(zip(("bucket", "hashes", "owners", "sizes"), map(list, zip(*parts))))
 
     def count(table: pa.Table) -> pa.Table:
-        hashes, owners = _unpacked(table)
+        hashes, owners, sizes = _unpacked(table, "hashes", "owners", "sizes")
         order = np.argsort(hashes, kind="stable")
-        hashes, owners = hashes[order], owners[order]
-        length = np.diff(_runs(hashes))
-        many = np.repeat(length, length)
-        hashes, owners, many = hashes[many > 1], owners[many > 1], many[many > 1]
-        order = np.argsort(owners, kind="stable")
-        hashes, owners, many = hashes[order], owners[order], many[order]
+        length = np.diff(_runs(hashes[order]))
+        df = np.repeat(length, length)
+        order, df = order[df > 1], df[df > 1]
+        parts = list(_dealt(_scrambled(owners[order], buckets), hashes[order], owners[order], sizes[order], df))
+        return pa.table(list(map(list, zip(*parts))) or [[]] * 5, schema=by_set)
+
+    def cut(table: pa.Table) -> pa.Table:
+        hashes, owners, sizes, df = _unpacked(table, "hashes", "owners", "sizes", "counts")
+        order = np.lexsort((hashes, df, owners))
+        hashes, owners, sizes, df = hashes[order], owners[order], sizes[order], df[order]
         starts = _runs(owners)
-        cut = lambda values: [_bytes(x) for x in np.split(values, starts[1:-1])] if len(values) else []
-        return pa.table(
-            {"rep": owners[starts[:-1]], "hashes": cut(hashes), "counts": cut(many.astype(np.int64))},
-            schema=pa.schema([("rep", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())]),
-        )
-
-    dealt = map_batches(sets.filter("n > 0"), deal, "bucket int, hashes binary, owners binary")
-    return dealt.groupBy("bucket").applyInArrow(count, "rep long, hashes binary, counts binary")
-
+        shared = np.repeat(np.diff(starts), np.diff(starts))
+        place = np.arange(len(owners)) - np.repeat(starts[:-1], np.diff(starts)) + sizes - shared
+        rare = (shared >= least_common(sizes)) & (place < sizes - least_common(sizes) + 1)
+        return pa.table({
+            "h": hashes[rare].astype(np.int64), "df": df[rare], "rep": owners[rare],
+            "n": sizes[rare], "pos": place[rare],
+        })
 
-def prefixes(shared: DataFrame) -> DataFrame:
-    """The rare end of each set that can have a partner: (h, df, rep, n, pos).
-
-    ``shared`` has a row per set: ``n`` and its shared shingles, packed per range.
-    """
-    def work(batch: dict[str, list]) -> dict:
-        out: dict[str, list] = {"h": [], "df": [], "rep": [], "n": [], "pos": []}
-        for rep, n, hashes, counts in zip(*(batch[c] for c in ("rep", "n", "hashes", "counts"))):
-            h, df = np.frombuffer(b"".join(hashes), U64), np.frombuffer(b"".join(counts), np.int64)
-            alone = n - len(h)
-            if len(h) < least_common(n):
-                continue
-            order = np.lexsort((h, df))[: n - least_common(n) + 1 - alone]
-            for column, values in zip(out.values(), (
-                h[order].astype(np.int64), df[order], np.full(len(order), rep),
-                np.full(len(order), n), alone + np.arange(len(order)),
-            )):
-                column.append(values)
-        return {name: np.concatenate(parts) if parts else np.empty(0, np.int64) for name, parts in out.items()}
-
-    return map_batches(shared, work, "h long, df long, rep long, n long, pos long")
+    packed = "hashes binary, owners binary, sizes binary"
+    by_set = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("hashes", "owners", "sizes", "counts"))])
+    dealt = map_batches(sets.filter("n > 0"), deal, f"bucket int, {packed}")
+    counted = dealt.groupBy("bucket").applyInArrow(count, f"bucket int, {packed}, counts binary")
+    return counted.groupBy("bucket").applyInArrow(cut, "h long, df long, rep long, n long, pos long")
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
@@ -242,32 +237,30 @@ def all_partners(prefix: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def linked(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The pairs (a, b) of at least 0.8, by overlaps per range summed per pair."""
-    mine = pieces.select(F.col("rep").alias("x"), "range", F.col("hashes").alias("hx"))
-    theirs = pieces.select(F.col("rep").alias("y"), "range", F.col("hashes").alias("hy"))
-    partial = pairs.join(mine, "x").join(theirs, ["y", "range"]).select(
-        "x", "y", "nx", "ny", F.size(F.array_intersect("hx", "hy")).alias("common")
+    """The pairs (a, b) of at least 0.8: the overlap in each range, summed per pair."""
+    mine = pieces.select(F.col("rep").alias("x"), F.col("ranges").alias("rx"))
+    theirs = pieces.select(F.col("rep").alias("y"), F.col("ranges").alias("ry"))
+    partial = F.zip_with("rx", "ry", lambda a, b: F.size(F.array_intersect(a, b)))
+    summed = pairs.join(mine, "x").join(theirs, "y").select(
+        "x", "y", "nx", "ny", F.aggregate(partial, F.lit(0), lambda total, part: total + part).alias("common")
     )
-    summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common"))
     alike = 100 * F.col("common") >= 80 * (F.col("nx") + F.col("ny") - F.col("common"))
     return summed.filter(alike).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def cut_in_ranges(sets: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """One row per set and range of the global order with a shingle in it."""
+    """``rep`` and its shingles cut at the same places of the global order as every set's."""
+    step = (1 << 64) // ranges
+    edges = np.array([i * step for i in range(1, ranges)], U64)
+
     def work(batch: dict[str, list]) -> dict:
-        out: dict[str, list] = {"rep": [], "range": [], "hashes": []}
-        step = (1 << 64) // ranges
-        edges = np.array([i * step for i in range(1, ranges)], U64)
-        for rep, hashes in zip(batch["rep"], batch["hashes"]):
-            parts = np.split(h := np.array(hashes, np.int64), np.searchsorted(h.astype(U64), edges))
-            for k, part in enumerate(parts):
-                if len(part):
-                    for column, value in zip(out.values(), (rep, k, part)):
-                        column.append(value)
-        return out
+        cut = []
+        for hashes in batch["hashes"]:
+            h = np.array(hashes, np.int64)
+            cut.append([part.tolist() for part in np.split(h, np.searchsorted(h.astype(U64), edges))])
+        return {"rep": batch["rep"], "ranges": cut}
 
-    return map_batches(sets, work, "rep long, range int, hashes array<long>")
+    return map_batches(sets, work, "rep long, ranges array<array<long>>")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -295,10 +288,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     chosen = named.join(left.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_semi")
     sets = stored(sets_of(chosen).dropDuplicates(["rep"]), "sets")
-    shared = frequencies(sets, buckets).groupBy("rep").agg(
-        F.collect_list("hashes").alias("hashes"), F.collect_list("counts").alias("counts")
-    )
-    prefix = stored(prefixes(shared.join(sets.select("rep", "n"), "rep")), "prefixes")
+    prefix = stored(prefixes(sets, buckets), "prefixes")
     kept = prefix.select(F.col("rep").alias("_rep")).distinct()
     pieces = stored(
         cut_in_ranges(sets.join(kept, F.col("rep") == F.col("_rep"), "left_semi")), "pieces"
