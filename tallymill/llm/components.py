@@ -30,14 +30,13 @@ def _stars(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``label`` (its component's smallest node) of all nodes of links (a, b).
 
+    ``links`` is best a written table, as it is read more than once.
+
     Each round ties nodes to ever smaller neighbours, until every component is
     one star; the number of rounds grows with the logarithm of the longest
     chain. Nothing but the count of links and a checksum reaches the driver.
     """
-    edges = stored(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .filter("a <> b").distinct(), "links",
-    )
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
     known = None
     while True:
         edges = _stars(edges)
@@ -46,4 +45,4 @@ def components(links: DataFrame) -> DataFrame:
             break
         known = state
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
-    return stored(edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots), "labels")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)

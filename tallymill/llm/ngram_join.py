@@ -17,7 +17,7 @@ Which pairs are counted:
    frequencies. A pair must share one of the first ``n - ceil(0.8 n) + 1`` and,
    by its place there, enough can still follow.
 4. Only the components matter. So each set first meets a few promising partners
-   in each of three rounds; when most groups have grown together, every remaining pair of
+   in each of two rounds; when most groups have grown together, every remaining pair of
    candidates that are not yet in one component is counted. That last step has
    no cap, so no link between components is lost.
 """
@@ -37,7 +37,7 @@ from tallymill.session import stored
 
 SHINGLE_WORDS = 5
 RANGES = 8
-PARTNERS = (1, 4, 16)
+PARTNERS = (2, 16)
 POSTING = 256
 
 
