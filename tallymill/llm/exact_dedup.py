@@ -42,16 +42,16 @@ def frequent(table: DataFrame, counters: int) -> DataFrame:
     """Digests of more than one ``counters``-th of the rows, with their group: at most ``counters`` rows."""
     found = table.stat.freqItems(["text_sha256"], 1.0 / counters)
     candidates = found.select(F.explode("text_sha256_freqItems").alias("text_sha256"))
-    exact = table.join(F.broadcast(candidates), "text_sha256").groupBy("text_sha256").agg(*GROUP)
+    exact = by_text(table.join(F.broadcast(candidates), "text_sha256"))
     rows = table.agg(F.count(F.lit(1)).alias("_rows"))
     return exact.join(F.broadcast(rows), F.col("group_rows") * counters > F.col("_rows")).drop("_rows")
 
 
-GROUP = (
-    F.max("doc_id").alias("keep_id"),
-    F.sum("copies").alias("group_size"),
-    F.count(F.lit(1)).alias("group_rows"),
-)
+def by_text(table: DataFrame) -> DataFrame:
+    return table.groupBy("text_sha256").agg(
+        F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"),
+        F.count(F.lit(1)).alias("group_rows"),
+    )
 
 
 def exact_groups(
@@ -70,7 +70,7 @@ def exact_groups(
     winners = stored(frequent(table, counters or counters_for(df)), "winners")
     settled = table.join(F.broadcast(winners), "text_sha256")
     rest = table.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti")
-    shuffled = rest.join(rest.groupBy("text_sha256").agg(*GROUP), "text_sha256")
+    shuffled = rest.join(by_text(rest), "text_sha256")
     columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
     return settled.unionByName(shuffled).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))
