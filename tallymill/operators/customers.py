@@ -16,28 +16,32 @@ from tallymill.functions.expressions import (
 from tallymill.operators.ranges import bucket_columns
 from tallymill.session import stored
 
-CUSTOMER = ("customer_id", "customer_name", "segment")
+ATTRIBUTES = ("customer_name", "segment")
+CUSTOMER = ("customer_id", *ATTRIBUTES)
 FEATURES = ("recency_days", "frequency", "monetary")
 
 
-def last_order_date(lines: DataFrame) -> Column:
-    """The date recency counts back from when none is given."""
-    return lines.agg(F.max("order_date")).scalar()
-
-
 def rfm_base(lines: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """Days since the last order, distinct orders and revenue per customer."""
-    anchor = last_order_date(lines) if as_of is None else F.lit(as_of)
-    return (
-        lines.groupBy(*CUSTOMER)
-        .agg(
-            F.max("order_date").alias("_last"),
-            F.count_distinct("order_id").alias("frequency"),
-            cents(F.sum("sales")).alias("monetary"),
-        )
-        .select(
-            *CUSTOMER, F.datediff(anchor, "_last").alias("recency_days"), "frequency", "monetary"
-        )
+    """Days since the last order, distinct orders and revenue per customer.
+
+    One row per id: of conflicting names or segments the smallest pair is
+    kept, as in the customer dimension. Without ``as_of`` the days count back
+    from the latest order of any customer, taken from the grouped rows, which
+    are written once for that.
+    """
+    grouped = lines.groupBy("customer_id").agg(
+        F.min(F.struct(*ATTRIBUTES)).alias("_who"),
+        F.max("order_date").alias("_last"),
+        F.count_distinct("order_id").alias("frequency"),
+        cents(F.sum("sales")).alias("monetary"),
+    ).select("customer_id", "_who.*", "_last", "frequency", "monetary")
+    if as_of is None:
+        grouped = stored(grouped, "rfm-customers")
+        anchor = grouped.agg(F.max("_last")).scalar()
+    else:
+        anchor = F.lit(as_of)
+    return grouped.select(
+        *CUSTOMER, F.datediff(anchor, "_last").alias("recency_days"), "frequency", "monetary"
     )
 
 

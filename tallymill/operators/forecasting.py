@@ -204,6 +204,9 @@ def _next_features(history: Column, month: Column) -> list[Column]:
     return [*lags, *rolls, *calendar]
 
 
+ROWS_PER_TASK = 100_000
+
+
 def forecast_gbt(
     series: DataFrame,
     horizon: int = 6,
@@ -211,6 +214,7 @@ def forecast_gbt(
     depth: int = 3,
     step: float = 0.05,
     subsample: float = 0.9,
+    columns: str = "0.9",
     seed: int = 42,
     least_rows: int = 12,
 ) -> DataFrame:
@@ -224,7 +228,8 @@ def forecast_gbt(
         forecast_features(series).withColumn("_enough", enough).filter("_enough").drop("_enough"),
         "features",
     )
-    if features.isEmpty():
+    rows = features.count()
+    if not rows:
         return features.sparkSession.createDataFrame(
             [], "series_id string, forecast_month date, model_name string,"
             " yhat double, yhat_lower double, yhat_upper double"
@@ -234,8 +239,9 @@ def forecast_gbt(
         GBTRegressor(
             featuresCol="_features", labelCol="y", predictionCol="_yhat", maxIter=trees,
             maxDepth=depth, stepSize=step, subsamplingRate=subsample, seed=seed,
+            featureSubsetStrategy=columns,
         ),
-    ]).fit(features)
+    ]).fit(features.coalesce(1 + rows // ROWS_PER_TASK))  # a tree is several jobs: few tasks in each
 
     spread = model.transform(features).groupBy("series_id").agg(
         F.stddev_samp(F.col("y") - F.col("_yhat")).alias("spread")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import cents, mean, percent, ratio
 from tallymill.operators import sales
-from tallymill.operators.customers import last_order_date
 from tallymill.operators.ranges import running_total
+from tallymill.session import stored
 
 
 def period_before(amount: str, *period: str) -> Column:
@@ -147,8 +147,12 @@ def lifetime_value(rfm_view: DataFrame) -> DataFrame:
 
 
 def _silent_days(lines: DataFrame, key: str, days: int, as_of: dt.date | None) -> DataFrame:
-    anchor = last_order_date(lines) if as_of is None else F.lit(as_of)
     last = lines.groupBy(key).agg(F.max("order_date").alias("last_order"))
+    if as_of is None:
+        last = stored(last, "last-orders")  # the newest date is found in it, not in a second join
+        anchor = last.agg(F.max("last_order")).scalar()
+    else:
+        anchor = F.lit(as_of)
     return last.withColumn("days_since", F.datediff(anchor, "last_order")).withColumn(
         "silent", F.col("days_since") > days
     )

@@ -102,16 +102,16 @@ def _monthly_totals() -> list[Column]:
     return [cents(F.sum(F.col(c).cast("decimal(18,2)"))).alias(c) for c in ("revenue", "profit")]
 
 
-def chart_series(df: DataFrame, dimension: str, metric: str, limit: int = 10_000) -> DataFrame:
-    """A chart's bars: the metric summed by one dimension, largest first."""
+def chart_series(df: DataFrame, dimension: str, metric: str, limit: int | None = None) -> DataFrame:
+    """A chart's bars: the metric summed by one dimension, largest first; all unless ``limit`` is given."""
     total = cents(F.sum(F.col(metric).cast("decimal(18,2)"))).alias(metric)
-    return df.groupBy(dimension).agg(total).orderBy(F.desc(metric), dimension).limit(limit)
+    bars = df.groupBy(dimension).agg(total).orderBy(F.desc(metric), dimension)
+    return bars if limit is None else bars.limit(limit)
 
 
-def chart_pivot(df: DataFrame, index: str, across: str, metric: str, values: list) -> DataFrame:
-    """The mean of the metric by ``index``, with one column per listed value."""
-    table = df.groupBy(index).pivot(across, values).agg(F.avg(F.col(metric)))
-    return table.select(index, *(F.round(F.col(f"`{v}`"), 2).alias(f"{v}") for v in values))
+def chart_pivot(df: DataFrame, index: str, across: str, metric: str) -> DataFrame:
+    """The mean of the metric by ``index``, with one column per value of ``across`` that occurs."""
+    return df.groupBy(index).pivot(across).agg(F.round(F.avg(F.col(metric)), 2))
 
 
 def category_totals(lines: DataFrame) -> DataFrame:

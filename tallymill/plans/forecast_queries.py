@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +14,7 @@ BASELINES = {
     "naive": forecasting.forecast_naive,
     "baseline_ma": forecasting.forecast_moving_average,
 }
-# all three models; fewer, larger boosting steps than the operator's default,
-# because every tree is several Spark jobs whatever the size of the table
-FITTED = {
-    **forecasting.MODELS, "gbt": partial(forecasting.forecast_gbt, trees=100, step=0.15),
-}
+FITTED = forecasting.MODELS
 
 
 def series(s: Source) -> DataFrame:

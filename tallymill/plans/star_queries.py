@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallymill.functions.expressions import calendar_parts, date_key
 from tallymill.operators import sales, star
 from tallymill.plans.registry import Source, query
+from tallymill.session import stored
 
 CUSTOMER = ("customer_id", "customer_name", "segment")
 PRODUCT = ("product_id", "product_name", "category", "sub_category")
@@ -168,8 +169,8 @@ def join_fact_dim_rename(s: Source) -> DataFrame:
 def join_cross_scalar(s: Source) -> DataFrame:
     """Each customer against the one-row anchor, as a scalar subquery."""
     lines = s.lines("customer_id", "order_date")
-    anchor = lines.agg(F.max("order_date")).scalar()
-    last = lines.groupBy("customer_id").agg(F.max("order_date").alias("last"))
+    last = stored(lines.groupBy("customer_id").agg(F.max("order_date").alias("last")), "last-orders")
+    anchor = last.agg(F.max("last")).scalar()
     return last.select("customer_id", F.datediff(anchor, "last").cast("bigint").alias("days_behind"))
 
 

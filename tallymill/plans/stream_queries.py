@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,14 +14,14 @@ from tallymill.streaming import orders
 DRAIN = {"availableNow": True}
 
 
-def messages(s: Source) -> DataFrame:
+def messages(s: Source, path: str | None = None) -> DataFrame:
     """Events as broker messages: a JSON value and a timestamp.
 
     Error events come without an order id, so validation rejects them.
     """
     # a glob, so that the table may be one file or a folder of files
     events = orders.table_source(
-        s.spark, f"{s.folder}/events*.parquet", s.table("events").schema
+        s.spark, path or f"{s.folder}/events*.parquet", s.table("events").schema
     )
     number = F.col("event_id").cast("string")
     order = F.when(F.col("event_type") != "error", F.concat(F.lit("RT-"), number))
@@ -40,12 +41,22 @@ def messages(s: Source) -> DataFrame:
     )
 
 
-def delivered_twice(stream: DataFrame) -> DataFrame:
-    return stream.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+def delivered_twice(s: Source, run: Callable[[DataFrame], None]) -> None:
+    """Run a stream over all events, each sent again in a later micro-batch.
+
+    The earlier half arrives, then its copies, then the later half and its
+    copies; the stream is run to its end, and stopped, after each arrival.
+    """
+    events, path = s.table("events"), s.scratch("resent")
+    middle = F.lit(events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0])
+    late = F.unix_micros(F.col("ts").cast("timestamp")) > middle
+    for half in (~late, ~late, late, late):
+        events.filter(half).write.mode("append").parquet(path)
+        run(valid(s, path))
 
 
-def valid(s: Source) -> DataFrame:
-    return orders.valid_orders(orders.parse_orders(messages(s)))
+def valid(s: Source, path: str | None = None) -> DataFrame:
+    return orders.valid_orders(orders.parse_orders(messages(s, path)))
 
 
 def landed(s: Source, stream: DataFrame, label: str) -> DataFrame:
@@ -122,14 +133,20 @@ def stream_table_source(s: Source) -> DataFrame:
 @query("stream_foreach_batch", f"SELECT {LIVE} FROM live")
 def stream_foreach_batch(s: Source) -> DataFrame:
     """Twice-delivered events through the idempotent per-batch append."""
-    path = s.scratch("serving")
-    stream = delivered_twice(valid(s))
-    orders.serve_stream(stream, path, s.scratch("offsets"), DRAIN).awaitTermination()
+    path, offsets = s.scratch("serving"), s.scratch("offsets")
+    delivered_twice(s, lambda stream: orders.serve_stream(stream, path, offsets, DRAIN).awaitTermination())
+    return live_columns(s.spark.read.parquet(path))
+
+
+@query("stream_dedup", f"SELECT {LIVE} FROM live")
+def stream_dedup(s: Source) -> DataFrame:
+    """Twice-delivered events, the copies dropped by state or as late."""
+    path, offsets = s.scratch("unique"), s.scratch("offsets")
+    delivered_twice(s, lambda stream: orders.store_stream(
+        orders.deduplicate(stream), path, offsets, DRAIN).awaitTermination())
     return live_columns(s.spark.read.parquet(path))
 
 
-query("stream_dedup", f"SELECT {LIVE} FROM live")(lambda s: live_columns(
-    landed(s, orders.deduplicate(delivered_twice(valid(s))), "unique")))
 query("stream_category_kpis", "SELECT * FROM live_kpis")(lambda s: plain_time(
     latest(s, orders.category_kpis(valid(s))), "last_event"))
 query("orders_realtime_kpis", "SELECT * FROM live_kpis")(lambda s: plain_time(

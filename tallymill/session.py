@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also where the split of a hot key costs the grouping after the join a shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -27,12 +30,16 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    The directory comes from ``spark.checkpoint.dir``. Only a session without
-    one (tests, a laptop) gets a temporary folder of its own.
+    The directory comes from ``spark.checkpoint.dir``. Only a session on one
+    machine (tests, a laptop) may be without: it gets a temporary folder of its
+    own. Elsewhere executors would each write to their own disk, so that is an
+    error.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallymill-"))
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -63,27 +66,13 @@ def rejected_orders(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~is_valid())
 
 
-def drop_near_copies(orders: DataFrame, key: str = "event_id") -> DataFrame:
-    """Keep the first row per key inside each Arrow batch, without a shuffle.
+def deduplicate(orders: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Drop replays of an event id. State is kept only within the watermark.
 
-    The stateful step below sends all rows of a key to one task and has no
-    partial step. An id resent millions of times arrives there as one row per
-    batch instead.
+    Of several copies the first on-time one arrives; a late copy never takes
+    its place, wherever the two stand in a batch.
     """
-    def first_rows(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            repeated = batch.column(key).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated))
-
-    return orders.mapInArrow(first_rows, orders.schema)
-
-
-def deduplicate(orders: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Drop replays of an event id. State is kept only within the watermark."""
-    thinned = drop_near_copies(orders).withWatermark("event_time", lateness)
-    return thinned.dropDuplicatesWithinWatermark(["event_id"])
+    return orders.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def store_stream(
@@ -104,25 +93,34 @@ def store_stream(
     )
 
 
-def append_new(batch: DataFrame, batch_id: int, path: str, key: str = "event_id") -> None:
+def append_new(
+    batch: DataFrame, batch_id: int, path: str, key: str = "event_id", feed: str = "0"
+) -> None:
     """Put the batch's unseen keys into their own folder of the table at ``path``.
 
-    The folder is named after the batch and replaced when the batch is
-    replayed, so neither a replay nor a resent key can add a row twice. Of the
-    stored rows only the key column is read, and it is not shuffled while the
-    batch's keys are small enough to broadcast.
+    The folder is named after the feed and the batch and replaced when that
+    batch is replayed, so neither a replay, nor a resent key, nor another feed
+    into the same table can add a row twice or take one away. Of the stored
+    rows only the key column is read, and it is not shuffled while the batch's
+    keys are small enough to broadcast. An empty batch writes nothing.
     """
     spark = batch.sparkSession
     rest = F.min(F.struct(*(c for c in batch.columns if c != key))).alias("_row")
     fresh = batch.groupBy(key).agg(rest).select(key, "_row.*").persist()
     try:
+        if fresh.isEmpty():
+            return
         unseen = fresh
-        if batch_id > 0:
-            table = spark.read.schema(f"{key} string, batch_id bigint").parquet(path)
-            earlier = table.filter(F.col("batch_id") < batch_id).select(key)
+        try:
+            table = spark.read.schema(f"{key} string, feed string, batch_id bigint").parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            earlier = table.filter((F.col("feed") != feed) | (F.col("batch_id") < batch_id)).select(key)
             resent = earlier.join(fresh.select(key), key, "left_semi")
             unseen = fresh.join(resent, key, "left_anti")
-        unseen.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        unseen.write.mode("overwrite").parquet(f"{path}/feed={feed}/batch_id={batch_id}")
     finally:
         fresh.unpersist()
 
@@ -130,9 +128,14 @@ def append_new(batch: DataFrame, batch_id: int, path: str, key: str = "event_id"
 def serve_stream(
     orders: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Feed the serving table, one idempotent append per micro-batch."""
+    """Feed the serving table, one idempotent append per micro-batch.
+
+    The checkpoint names the feed: batch numbers begin anew with a new one.
+    """
+    feed = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch.select(*EVENT_FIELDS), batch_id, path)
+        append_new(batch.select(*EVENT_FIELDS), batch_id, path, feed=f"f{feed}")
 
     return (
         orders.writeStream.foreachBatch(write).outputMode("append")

@@ -180,3 +180,28 @@ def test_chart_limit(spark, limit):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("a", 4.0)], "d string, revenue double")
     rows = sales.chart_series(df, "d", "revenue", limit).collect()
     assert [tuple(r) for r in rows] == [("a", 5.0), ("b", 3.0)][:limit]
+
+
+def test_a_customer_with_two_names_keeps_all_sales(spark):
+    from tallymill.operators import customers
+
+    rows = [("c1", "Ann", "Home", 1, 10), ("c1", "Anne", "Home", 2, 20), ("c2", "Bo", "Home", 3, 5)]
+    lines = spark.createDataFrame(rows, "customer_id string, customer_name string, segment string, order_id int, sales int") \
+        .withColumn("order_date", F.make_date(F.lit(2024), F.lit(1), F.col("order_id"))).withColumn("sales", F.col("sales").cast("decimal(12,2)"))
+    scored = {r.customer_id: r for r in customers.customer_rfm(lines).collect()}
+    assert {c: r.monetary for c, r in scored.items()} == {"c1": 30.0, "c2": 5.0}
+    assert scored["c1"].customer_name == "Ann" and scored["c1"].frequency == 2 and scored["c1"].recency_days == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session(), "x")

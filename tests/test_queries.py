@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
 import compare
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
-FITTED = ("forecast_gbt", "compare_models", "sales_forecast")
+# the text queries are tested in tests/llm; the last two fit the model of forecast_gbt again
+ELSEWHERE = re.compile(r"op\d+_|pipeline$|compare_models$|sales_forecast$")
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +24,7 @@ def test_query_equals_sql(spark, folder, duck, name):
     assert compare.difference(QUERIES[name](spark, folder), duck, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - set(FITTED)))
+@pytest.mark.parametrize("name", [q for q in sorted(set(QUERIES) - set(SQL)) if not ELSEWHERE.match(q)])
 def test_query_without_sql_gives_rows(spark, folder, name):
     assert not QUERIES[name](spark, folder).isEmpty()
 

@@ -63,13 +63,30 @@ def test_resent_events_are_dropped_within_the_watermark(spark, feed):
     assert sorted(r["event_id"] for r in land(spark, unique).collect()) == ["e1", "e2", "e3"]
 
 
-def test_a_hot_event_reaches_the_state_as_few_rows(spark):
-    rows = spark.range(30_000, numPartitions=2).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('e', id) END AS event_id", "id")
-    left = orders.drop_near_copies(rows)
-    assert left.filter("event_id <> 'hot'").count() == 20_000
-    assert 1 <= left.filter("event_id = 'hot'").count() <= 4
-    assert left.filter("event_id IS NULL").isEmpty()
+def test_a_late_copy_does_not_take_the_place_of_a_good_one(spark, feed):
+    put, stream = feed
+    put(event(1, 50))
+    put(event(9, event_time="2024-01-01T08:00:00+00:00"), event(9, 45))
+    unique = orders.deduplicate(orders.valid_orders(orders.parse_orders(stream())), "1 hour")
+    assert sorted(r["event_id"] for r in land(spark, unique).collect()) == ["e1", "e9"]
+
+
+def test_a_second_feed_leaves_the_rows_of_the_first(spark, feed):
+    put, stream = feed
+    path = scratch_path(spark, "serving")
+    put(event(1, 1), event(2, 2))
+    valid = orders.valid_orders(orders.parse_orders(stream()))
+    orders.serve_stream(valid, path, scratch_path(spark, "offsets"), DRAIN).awaitTermination()
+    put(event(3, 3))
+    orders.serve_stream(valid, path, scratch_path(spark, "offsets"), DRAIN).awaitTermination()
+    assert sorted(r["event_id"] for r in spark.read.parquet(path).collect()) == ["e1", "e2", "e3"]
+
+
+def test_an_empty_batch_writes_nothing(spark):
+    path = scratch_path(spark, "empty")
+    orders.append_new(spark.createDataFrame([], "event_id string, n int"), 0, path)
+    orders.append_new(spark.createDataFrame([("a", 1)], "event_id string, n int"), 1, path)
+    assert [r["batch_id"] for r in spark.read.parquet(path).collect()] == [1]
 
 
 def test_serving_table_has_each_event_once(spark, feed):
