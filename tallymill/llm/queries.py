@@ -28,10 +28,12 @@ def _joined(spans: str) -> Column:
     return F.array_join(written, ",")
 
 
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
 def _span_digests(spans: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    counts = [
-        F.size(F.filter("fixed", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds
-    ]
+    counts = [F.size(F.filter("fixed", _of_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
     base = F.sha2(_joined("fixed").cast("binary"), 256).alias("base_sha256")
     return spans.select("doc_id", *counts, base, _joined("spans").alias("spans"))
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pytest
+
 import __spark_entry__ as contract
 import compare
 import corpus_pipeline
-from tallymill.llm import exact_dedup, ngram_join, quality
+from tallymill.llm import exact_dedup, ngram_join, pii, quality, secrets
 from tallymill.llm.queries import QUERIES
 
 
@@ -38,6 +42,27 @@ def test_exact_groups_equal_sql(spark, folder):
     assert difference is None
 
 
+@pytest.mark.parametrize("name, finder", [("op1_secret_network", secrets), ("op3_personal_segments", pii)])
+def test_span_queries_digest_the_fixed_spans(spark, folder, name, finder):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES[name](spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = finder.fixed_spans(texts[r.doc_id])
+        written = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert all(r[f"n_{k}"] == sum(kind == k for kind, _, _ in spans) for k in finder.KINDS)
+        assert {*written.split(",")} - {""} <= {*r.spans.split(",")}
+
+
+@pytest.mark.parametrize("name", ["op2_url_words", "op4_prefix_bpe", "op6_chat_tree", "op7_quality_votes"])
+def test_queries_answer_for_every_key(spark, folder, name):
+    key, table = {"op2": ("page_id", "pages"), "op6": ("conv_id", "conversations")}.get(name[:3], ("doc_id", "documents"))
+    got = [r[0] for r in QUERIES[name](spark, folder).select(key).collect()]
+    ids = {r[0] for r in spark.read.parquet(f"{folder}/{table}.parquet").select(key).collect()}
+    assert sorted(got) == sorted(ids | ({-7} if key == "conv_id" else set()))
+
+
 def test_all_are_registered():
     assert set(QUERIES) <= set(contract.queries())
     assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
