@@ -36,7 +36,7 @@ def unescaped(text: Column) -> Column:
 
 
 def turns_of(conversations: DataFrame) -> DataFrame:
-    """One row per turn: conv_id, place, node, its ancestors with itself, path, role, segment.
+    """One row per turn: conv_id, place, node, path, role, segment.
 
     Turns stand by ``turn``; ties by role and text, so their order is defined.
     """
@@ -54,9 +54,7 @@ def turns_of(conversations: DataFrame) -> DataFrame:
         .withColumn("path", F.array_join(F.collect_list("digest").over(upto), ""))
         .withColumn("node", F.sha2(F.col("path").cast("binary"), 256))
     )
-    return keyed.withColumn("ancestors", F.collect_list("node").over(upto)).select(
-        "conv_id", "place", "node", "ancestors", "path", "role", "segment"
-    )
+    return keyed.select("conv_id", "place", "node", "path", "role", "segment")
 
 
 def prefix_tree(turns: DataFrame, tokenizer: str) -> DataFrame:
@@ -65,30 +63,37 @@ def prefix_tree(turns: DataFrame, tokenizer: str) -> DataFrame:
     Columns: node, depth, role, segment, tokens, n_tokens, stream_start,
     position_start, attend_until, ancestor_intervals. Token i of a node has
     position ``position_start + i``, sees the intervals and the node's tokens
-    up to itself, and is seen by stream places before ``attend_until``.
+    up to itself, and is seen by stream places before ``attend_until``. What
+    lies before a node is the same in all conversations through it; a subtree
+    ends where the last conversation through its root does.
     """
     def encode(batch: dict[str, list]) -> dict:
         ids = codec(tokenizer).encode(batch["segment"])
         return batch | {"tokens": ids, "n_tokens": [len(x) for x in ids]}
 
-    distinct = turns.dropDuplicates(["node"]).select("node", "path", "ancestors", "role", "segment")
+    distinct = turns.dropDuplicates(["node"]).select("node", "path", "role", "segment")
     encoded = map_batches(
-        distinct, encode, "node string, path string, ancestors array<string>, role string, segment string, "
-        "tokens array<int>, n_tokens long",
+        distinct, encode,
+        "node string, path string, role string, segment string, tokens array<int>, n_tokens long",
     )
     placed = running_total(encoded, "n_tokens", "stream_end", "path")
     nodes = stored(placed.withColumn("stream_start", F.col("stream_end") - F.col("n_tokens")), "nodes")
-    lines = stored(nodes.select("node", "n_tokens", F.explode("ancestors").alias("ancestor")), "lineage")
-    below = lines.groupBy("ancestor").agg(F.sum("n_tokens").alias("below"))
-    spans = nodes.select(F.col("node").alias("ancestor"), "stream_start", "stream_end")
-    above = lines.filter("ancestor <> node").join(spans, "ancestor").groupBy("node").agg(
-        F.sum(F.col("stream_end") - F.col("stream_start")).alias("position_start"),
-        F.sort_array(F.collect_list(F.struct("stream_start", "stream_end"))).alias("ancestor_intervals"),
+    spans = nodes.select("node", "n_tokens", "stream_start", "stream_end")
+    path = Window.partitionBy("conv_id")
+    before = path.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    walked = turns.select("conv_id", "place", "node").join(spans, "node").select(
+        "node", F.col("place").alias("depth"),
+        F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("position_start"),
+        F.collect_list(F.struct("stream_start", "stream_end")).over(before).alias("ancestor_intervals"),
+        F.max("stream_end").over(path).alias("leaf_end"),
+    )
+    seen = walked.groupBy("node").agg(
+        F.min("depth").alias("depth"), F.min("position_start").alias("position_start"),
+        F.first("ancestor_intervals").alias("ancestor_intervals"), F.max("leaf_end").alias("attend_until"),
     )
-    return nodes.join(above, "node", "left").join(below, nodes["node"] == below["ancestor"]).select(
-        nodes["node"], F.size("ancestors").alias("depth"), "role", "segment", "tokens", "n_tokens", "stream_start",
-        F.coalesce("position_start", F.lit(0)).alias("position_start"),
-        (F.col("stream_start") + F.col("below")).alias("attend_until"), "ancestor_intervals",
+    return nodes.join(seen, "node").select(
+        "node", "depth", "role", "segment", "tokens", "n_tokens", "stream_start",
+        "position_start", "attend_until", "ancestor_intervals",
     )
 
 
