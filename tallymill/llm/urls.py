@@ -158,7 +158,9 @@ def learn(pages: DataFrame, splitter: Splitter) -> Bayes:
         return out
 
     counted = map_batches(pages.select("url"), work, "bad boolean, token string").groupBy("token", "bad").count()
-    rows = [(r["token"], r["bad"], r["count"]) for r in counted.orderBy(F.desc("count"), "token", "bad").limit(VOCABULARY).collect()]
+    # the counts of urls first, so that they are kept however many tokens are more frequent
+    ordered = counted.orderBy(F.col("token") != "", F.desc("count"), "token", "bad")
+    rows = [(r["token"], r["bad"], r["count"]) for r in ordered.limit(VOCABULARY).collect()]
     return Bayes([r for r in rows if r[0]], {bad: n for token, bad, n in rows if not token})
 
 
