@@ -6,13 +6,16 @@ from tallymill.operators import profiling, quantiles, sales
 from tallymill.plans.registry import query
 
 PROFILED = {
-    "order_id": "bigint", "order_date": "date", "ship_date": "date", "ship_mode": "string",
-    "customer_id": "bigint", "segment": "string", "state": "string", "city": "string",
+    "row_id": "bigint", "order_id": "bigint", "order_date": "date", "ship_date": "date",
+    "ship_mode": "string", "customer_id": "bigint", "customer_name": "string",
+    "segment": "string", "country": "string", "state": "string", "city": "string",
     "postal_code": "string", "region": "string", "product_id": "bigint", "category": "string",
     "sub_category": "string", "product_name": "string", "sales": "decimal(12,4)",
     "quantity": "bigint", "discount": "decimal(5,4)", "profit": "decimal(12,4)",
 }
 MEASURES = ("sales", "quantity", "discount", "profit")
+# a whole line; the row number is made to differ, so it cannot tell a repeated line
+WHOLE_LINE = tuple(c for c in PROFILED if c != "row_id")
 
 PROFILE_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{kind}' AS data_type, count({c}) AS non_null,"
@@ -43,16 +46,16 @@ query("rows_per_day", """
     FROM (SELECT order_date, count(*) AS n FROM sales_lines GROUP BY 1)
 """)(lambda s: profiling.rows_per_day(s.lines("order_date"), "order_date"))
 
-query("profile_duplicates", """
-    SELECT 'duplicate_rows' AS measure, count(*) - count(DISTINCT (order_id, product_id,
-        customer_id, ship_date)) AS rows FROM sales_lines
+query("profile_duplicates", f"""
+    SELECT 'duplicate_rows' AS measure,
+        count(*) - count(DISTINCT ({', '.join(WHOLE_LINE)})) AS rows FROM sales_lines
     UNION ALL SELECT 'duplicate_order_id_product_id',
         count(*) - count(DISTINCT (order_id, product_id)) FROM sales_lines
     UNION ALL SELECT 'distinct_order_id', count(DISTINCT order_id) FROM sales_lines
     UNION ALL SELECT 'distinct_customer_id', count(DISTINCT customer_id) FROM sales_lines
     UNION ALL SELECT 'distinct_product_id', count(DISTINCT product_id) FROM sales_lines
 """)(lambda s: profiling.profile_duplicates(
-    s.lines("order_id", "product_id", "customer_id", "ship_date"),
+    s.lines(*WHOLE_LINE),
     ("order_id", "product_id"), ("order_id", "customer_id", "product_id")))
 
 query("profile_numeric", " UNION ALL ".join(
@@ -84,19 +87,20 @@ query("negative_values", " UNION ALL ".join(
 query("revenue_by_month_resample", """
     SELECT g.month, coalesce(t.total, 0.0) AS total
     FROM (SELECT cast(unnest(generate_series(
-              cast(date_trunc('month', min(ship_date)) AS timestamp),
-              cast(date_trunc('month', max(ship_date)) AS timestamp),
+              cast(date_trunc('month', min(order_date)) AS timestamp),
+              cast(date_trunc('month', max(order_date)) AS timestamp),
               INTERVAL 1 MONTH)) AS date) AS month FROM sales_lines) g
-    LEFT JOIN (SELECT cast(date_trunc('month', ship_date) AS date) AS month,
+    LEFT JOIN (SELECT cast(date_trunc('month', order_date) AS date) AS month,
                    cast(round(sum(sales), 2) AS double) AS total
                FROM sales_lines GROUP BY 1) t ON t.month = g.month
-""")(lambda s: profiling.monthly_resample(s.lines("ship_date", "sales"), "ship_date", "sales"))
+""")(lambda s: profiling.monthly_resample(s.lines("order_date", "sales"), "order_date", "sales"))
 
-query("revenue_by_dimension", """
-    SELECT postal_code, segment, cast(round(sum(sales), 2) AS double) AS revenue
-    FROM sales_lines GROUP BY postal_code, segment
-""")(lambda s: sales.revenue_by(
-    s.lines("postal_code", "segment", "sales"), "postal_code", "segment"))
+DIMENSIONS = ("category", "sub_category", "region", "segment")
+query("revenue_by_dimension", " UNION ALL ".join(
+    f"SELECT '{d}' AS dimension, {d} AS value, cast(round(sum(sales), 2) AS double) AS revenue"
+    f" FROM sales_lines GROUP BY {d}"
+    for d in DIMENSIONS
+))(lambda s: sales.revenue_by_each(s.lines(*DIMENSIONS, "sales"), *DIMENSIONS))
 
 CORRELATED = ("discount", "profit", "sales")
 query("correlation_matrix", " UNION ALL ".join(

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import SEGMENTS, age_seconds
-from tallymill.operators import health, quality, sales
+from tallymill.functions.unions import union_rows
+from tallymill.operators import customers, health, marts, quality, sales
 from tallymill.plans import customer_queries, forecast_queries, sales_queries, star_queries
-from tallymill.plans.registry import Source, query
+from tallymill.plans.registry import ORACLES, Source, query
 
 
 def finding(check: str, table: str, column: str, failures: str, source: str) -> str:
@@ -21,22 +22,35 @@ def finding(check: str, table: str, column: str, failures: str, source: str) ->
     )
 
 
-CHECKED = ("order_id", "customer_id", "product_id", "postal_code", "sales", "quantity")
-query("dq_not_null", " UNION ALL ".join(
-    finding("not_null", "lines", c, f"count(*) FILTER ({c} IS NULL)", "sales_lines")
-    for c in CHECKED
-))(lambda s: quality.check_rows(s.lines(*CHECKED), "lines", *quality.not_null(*CHECKED)))
-
-query("dq_unique", " UNION ALL ".join([
-    finding("unique", "lines", "order_id,row_id",
-            "count(*) - count(DISTINCT (order_id, row_id))", "sales_lines"),
-    finding("unique", "lineitem", "l_orderkey,l_linenumber",
-            "count(*) - count(DISTINCT (l_orderkey, l_linenumber))", "lineitem"),
+# in the source tables: a join drops a missing key before it can be counted
+CHECKED = {
+    "lineitem": ("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderdate"),
+    "customer": ("c_custkey", "c_name", "c_nationkey"),
+    "part": ("p_partkey", "p_type"),
+}
+query("dq_not_null", " UNION ALL ".join([
+    *(finding("not_null", table, c, f"count(*) FILTER ({c} IS NULL)", table)
+      for table, columns in CHECKED.items() for c in columns),
+    finding("not_null", "lines", "postal_code", "count(*) FILTER (postal_code IS NULL)",
+            "sales_lines"),
 ]))(lambda s: quality.report(
-    quality.unique(s.lines("order_id", "row_id"), "lines", "order_id", "row_id"),
-    quality.unique(s.table("lineitem"), "lineitem", "l_orderkey", "l_linenumber"),
+    *(quality.check_rows(s.table(table), table, *quality.not_null(*columns))
+      for table, columns in CHECKED.items()),
+    quality.check_rows(s.lines("postal_code"), "lines", *quality.not_null("postal_code")),
 ))
 
+KEYS = {
+    "lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",),
+    "customer": ("c_custkey",), "part": ("p_partkey",),
+}
+query("dq_unique", " UNION ALL ".join(
+    finding("unique", table, ",".join(key), f"count(*) - count(DISTINCT ({', '.join(key)}))", table)
+    for table, key in KEYS.items()
+))(lambda s: quality.report(*(
+    quality.unique(s.table(table), table, *key) for table, key in KEYS.items()
+)))
+
 query("dq_accepted_values", " UNION ALL ".join([
     finding("accepted_values", "segments", "cluster_label",
             "count(*) FILTER (cluster_label NOT IN ('Champions', 'Loyal Customers',"
@@ -54,12 +68,46 @@ query("dq_accepted_values", " UNION ALL ".join([
 RULES = (
     "revenue > 0", "profit / revenue BETWEEN -1 AND 1", "orders <= 20", "month BETWEEN 1 AND 12",
 )
-query("dq_expression_true", " UNION ALL ".join(
-    finding("expression_true", "monthly_revenue", r, f"count(*) FILTER (NOT ({r}))", "months")
-    for r in RULES
-))(lambda s: quality.check_rows(
-    sales_queries.monthly(s), "monthly_revenue",
-    *(rule for r in RULES for rule in quality.expression_true(r))))
+# The rules of the three marts.
+MART_RULES = {
+    "mart_executive_kpis": (
+        "profit_margin_pct BETWEEN -100 AND 100", "months_reported BETWEEN 1 AND 12",
+        "year_revenue > 0",
+    ),
+    "mart_customer_intelligence": (
+        "customers > 0", "pct_of_customers BETWEEN 0 AND 100", "pct_of_revenue BETWEEN 0 AND 100",
+        "round(pct_of_customers, 0) BETWEEN 0 AND 100",
+    ),
+    "mart_forecast_performance": (
+        "forecast_revenue > 0", "yhat_upper >= forecast_revenue", "forecast_revenue >= yhat_lower",
+    ),
+}
+
+
+@query("dq_expression_true", " UNION ALL ".join(
+    finding("expression_true", table, r, f"count(*) FILTER (NOT ({r}))", source)
+    for table, rules, source in [
+        ("monthly_revenue", RULES, "months"),
+        *((mart, rules, f"({ORACLES[mart]})") for mart, rules in MART_RULES.items()),
+    ]
+    for r in rules
+))
+def dq_expression_true(s: Source) -> DataFrame:
+    monthly = sales_queries.monthly(s)
+    built = {
+        "monthly_revenue": (monthly, RULES),
+        "mart_executive_kpis": (marts.executive_kpis(monthly),),
+        "mart_customer_intelligence": (customers.customer_intelligence(customer_queries.rfm(s)),),
+        "mart_forecast_performance": (
+            marts.forecast_performance(forecast_queries.forecast(s), "series_id"),
+        ),
+    }
+    return quality.report(*(
+        quality.check_rows(df, table, *(
+            rule for r in (*rules, *MART_RULES.get(table, ())) for rule in quality.expression_true(r)
+        ))
+        for table, (df, *own) in built.items() for rules in [own[0] if own else ()]
+    ))
 
 query("dq_range", " UNION ALL ".join([
     finding("range", "lines", "sales", "count(*) FILTER (sales < 0)", "sales_lines"),
@@ -204,7 +252,7 @@ def health_alerts(s: Source) -> DataFrame:
         age_seconds(F.lit(dt.datetime(2024, 1, 31, 12)), F.col("observed_at"))
         .cast("double").alias("value"),
     )
-    return health.health_alerts(rows.unionByName(ages))
+    return health.health_alerts(union_rows([rows, ages]))
 
 
 @query("fn_freshness", """

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.operators import sales, star
-from tallymill.plans import customer_queries, sales_queries
+from tallymill.operators import customers, sales, star
+from tallymill.plans import customer_queries, forecast_queries, sales_queries
 from tallymill.plans.batch import build_warehouse, verify_warehouse
 from tallymill.plans.registry import Source, query
 from tallymill.session import stored
@@ -14,9 +14,25 @@ from tallymill.sources import publish, tables
 
 # an order line with localised, untidy headers
 HEADERS = {
-    "order_id": " Ordem-ID ", "category": "Categoria", "sub_category": "Sub-Categoria",
-    "sales": "Vendas", "quantity": "QUANTIDADE", "ship_mode": "Modo Envio",
+    "row_id": "Linha ID", "order_id": " Ordem-ID ", "order_date": "Data Ordem",
+    "ship_date": "data-envio", "ship_mode": "Modo Envio", "customer_id": "Cliente ID",
+    "customer_name": "Nome Cliente", "segment": "Segmento", "country": "País", "city": "Cidade",
+    "state": "ESTADO", "postal_code": "Codigo Postal", "region": "Região",
+    "product_id": "Produto-ID", "category": "Categoria", "sub_category": "Sub-Categoria",
+    "product_name": "Nome Produto", "sales": "Vendas", "quantity": "QUANTIDADE",
+    "discount": "Desconto", "profit": "lucro ",
 }
+# the same without accents, as the CSV has them
+ASCII_HEADERS = {**HEADERS, "country": "Pais", "region": "Regiao"}
+AMOUNTS = ("sales", "discount", "profit")
+IDS = ("order_id", "customer_id", "product_id")
+
+
+def lines_sql(*as_text: str) -> str:
+    """All columns of the order lines, amounts as doubles and the named ones as text."""
+    kinds = {**dict.fromkeys(AMOUNTS, "double"), **dict.fromkeys(as_text, "varchar")}
+    columns = (f"cast({c} AS {kinds[c]}) AS {c}" if c in kinds else c for c in tables.LINE_TYPES)
+    return f"SELECT {', '.join(columns)} FROM sales_lines"
 
 
 @query("scan_parquet_glob", """
@@ -37,29 +53,23 @@ def scan_parquet_glob(s: Source) -> DataFrame:
 def _csv_copy(s: Source) -> DataFrame:
     """All order lines, as text, in a CSV with the localised headers."""
     path = s.scratch("csv")
-    text = s.lines(*HEADERS).select(*(
-        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(h) for c, h in HEADERS.items()
+    text = s.lines(*ASCII_HEADERS).select(*(
+        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(h) for c, h in ASCII_HEADERS.items()
     ))
     text.write.option("header", "true").csv(path)
-    return tables.scan_csv(s.spark, path, tables.text_schema(list(HEADERS.values())))
+    return tables.scan_csv(s.spark, path, tables.text_schema(list(ASCII_HEADERS.values())))
 
 
-@query("scan_csv_typed", """
-    SELECT category, count(*) AS lines, cast(round(sum(sales), 2) AS double) AS revenue
-    FROM sales_lines GROUP BY category
-""")
+@query("scan_csv_typed", lines_sql(*IDS))
 def scan_csv_typed(s: Source) -> DataFrame:
     typed = tables.stage_typed(tables.normalize_columns(_csv_copy(s)))
-    return typed.groupBy("category").agg(F.count(F.lit(1)).alias("lines"), sales.revenue())
+    return sales_queries.doubles(typed, *AMOUNTS)
 
 
-@query("normalize_columns", """
-    SELECT order_id, category, sub_category, cast(sales AS double) AS sales, quantity, ship_mode
-    FROM sales_lines
-""")
+@query("normalize_columns", lines_sql())
 def normalize_columns(s: Source) -> DataFrame:
     untidy = s.lines(*HEADERS).withColumnsRenamed(HEADERS)
-    return sales_queries.doubles(tables.normalize_columns(untidy), "sales")
+    return sales_queries.doubles(tables.normalize_columns(untidy), *AMOUNTS)
 
 
 @query("validate_columns", """
@@ -71,22 +81,13 @@ def validate_columns(s: Source) -> DataFrame:
     return tables.validate_columns(s.lines(*columns), [*columns, "profit"])
 
 
-@query("stage_typed", """
-    SELECT row_id, cast(order_id AS varchar) AS order_id, order_date, ship_date, postal_code,
-        cast(sales AS double) AS sales, quantity, cast(discount AS double) AS discount,
-        cast(profit AS double) AS profit
-    FROM sales_lines
-""")
+@query("stage_typed", lines_sql(*IDS))
 def stage_typed(s: Source) -> DataFrame:
     """Untyped text lines, with blanks for missing values, as typed columns."""
-    columns = (
-        "row_id", "order_id", "order_date", "ship_date", "postal_code", "sales", "quantity",
-        "discount", "profit",
-    )
-    text = s.lines(*columns).select(*(
-        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns
+    text = s.lines(*tables.LINE_TYPES).select(*(
+        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in tables.LINE_TYPES
     ))
-    return sales_queries.doubles(tables.stage_typed(text), "sales", "discount", "profit")
+    return sales_queries.doubles(tables.stage_typed(text), *AMOUNTS)
 
 
 def _raw_files(s: Source) -> DataFrame:
@@ -160,6 +161,8 @@ def read_sql(s: Source) -> DataFrame:
     UNION ALL SELECT 'revenue_by_region', count(*) FROM places
     UNION ALL SELECT 'top_products', least(100, count(*)) FROM products
     UNION ALL SELECT 'customer_rfm', count(*) FROM rfm
+    UNION ALL SELECT 'customer_segments', count(*) FROM rfm
+    UNION ALL SELECT 'sales_forecast', count(*) FROM forecast_sql
 """)
 def publish_catalog(s: Source) -> DataFrame:
     root = s.scratch("published")
@@ -170,6 +173,8 @@ def publish_catalog(s: Source) -> DataFrame:
             "revenue_by_region": sales_queries.places(s),
             "top_products": sales.top_products(sales_queries.product_lines(s)),
             "customer_rfm": customer_queries.rfm(s),
+            "customer_segments": customers.customer_segments(customer_queries.lines(s)),
+            "sales_forecast": forecast_queries.forecast(s),
         },
         publish.file_sink(root),
     )
