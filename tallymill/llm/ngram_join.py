@@ -39,6 +39,7 @@ SHINGLE_WORDS = 5
 RANGES = 8
 PARTNERS = (2, 16)
 POSTING = 256
+BUCKET_SHINGLES = 1 << 20
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -80,6 +81,15 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]])
 
 
+def buckets_for(sizes: DataFrame) -> int:
+    """So many that a bucket holds about ``BUCKET_SHINGLES`` shingles, whatever the number of tasks.
+
+    What passes between the tasks is packed by bucket, so more buckets than the
+    data need would only make more and smaller rows.
+    """
+    return 1 + (sizes.agg(F.sum("n")).first()[0] or 0) // BUCKET_SHINGLES
+
+
 def set_sizes(rows: DataFrame) -> DataFrame:
     """``doc_id``, ``n`` and a 128-bit digest of the shingle set."""
     def work(batch: dict[str, list]) -> dict:
@@ -94,7 +104,11 @@ def set_sizes(rows: DataFrame) -> DataFrame:
 
 
 def promising(rows: DataFrame, buckets: int) -> DataFrame:
-    """``doc_id`` and how many shingles of its long prefix some other document's holds too."""
+    """``doc_id`` and how many shingles of its long prefix some other document's holds too.
+
+    Counted per bucket of hashes, then summed per bucket of documents; packed
+    either way, so a document is not a row in every bucket that it meets.
+    """
     def deal(batch: dict[str, list]) -> dict:
         out: dict[str, list] = {"kind": [], "bucket": [], "hashes": [], "owners": []}
 
@@ -130,14 +144,21 @@ def promising(rows: DataFrame, buckets: int) -> DataFrame:
         docs, counts = np.unique(
             owners[(np.repeat(length, length) > 1) & (owners >= 0)], return_counts=True
         )
-        return pa.table({
-            "doc_id": np.concatenate([own, docs]),
-            "shared": np.concatenate([done.astype(np.int64), counts]),
-        })
-
+        owners, counts = np.concatenate([own, docs]), np.concatenate([done.astype(np.int64), counts])
+        parts = list(_dealt(_scrambled(owners, buckets), owners, counts))
+        return pa.table(list(map(list, zip(*parts))) or [[]] * 3, schema=by_doc)
+
+    def total(table: pa.Table) -> pa.Table:
+        owners, counts = _unpacked(table, "owners", "counts")
+        docs, place = np.unique(owners, return_inverse=True)
+        shared = np.zeros(len(docs), np.int64)
+        np.add.at(shared, place, counts)
+        return pa.table({"doc_id": docs, "shared": shared})
+
+    by_doc = pa.schema([("bucket", pa.int32()), ("owners", pa.binary()), ("counts", pa.binary())])
     dealt = map_batches(rows, deal, "kind int, bucket int, hashes binary, owners binary")
-    counted = dealt.groupBy("bucket").applyInArrow(count, "doc_id long, shared long")
-    return counted.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    counted = dealt.groupBy("bucket").applyInArrow(count, "bucket int, owners binary, counts binary")
+    return counted.groupBy("bucket").applyInArrow(total, "doc_id long, shared long")
 
 
 def sets_of(rows: DataFrame) -> DataFrame:
@@ -272,8 +293,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     unique, and rows without an id come back unlinked with a NULL component.
     No other column is read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = text_rows(docs, id_col, text_col)
     sizes = stored(set_sizes(rows).distinct(), "set-sizes")
     named = rows.filter("doc_id IS NOT NULL")
@@ -283,12 +302,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     least_shared = F.greatest(F.lit(1), F.floor(F.floor((4 * F.col("n") + 4) / 5) / 5))
     left = stored(
-        promising(named, buckets).join(classes.withColumnRenamed("rep", "doc_id"), "doc_id")
+        promising(named, buckets_for(sizes)).join(classes.withColumnRenamed("rep", "doc_id"), "doc_id")
         .filter(F.col("shared") >= least_shared).select(F.col("doc_id").alias("_id")), "promising",
     )
     chosen = named.join(left.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_semi")
     sets = stored(sets_of(chosen).dropDuplicates(["rep"]), "sets")
-    prefix = stored(prefixes(sets, buckets), "prefixes")
+    prefix = stored(prefixes(sets, buckets_for(sets)), "prefixes")
     kept = prefix.select(F.col("rep").alias("_rep")).distinct()
     pieces = stored(
         cut_in_ranges(sets.join(kept, F.col("rep") == F.col("_rep"), "left_semi")), "pieces"

@@ -81,7 +81,7 @@ def brute_groups(rows):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-def test_near_groups_equal_all_pairs(spark, edge_docs, none):
+def test_near_groups_equal_all_pairs(spark, edge_docs, none, monkeypatch):
     draw = random.Random(7)
     bag = [f"w{i}" for i in range(400)]
     base = [draw.choices(bag, k=draw.choice([3, 5, 8, 40, 120])) for _ in range(25)]
@@ -91,6 +91,7 @@ def test_near_groups_equal_all_pairs(spark, edge_docs, none):
             copy = [draw.choice(bag) if draw.random() < draw.choice([0, 0.01, 0.04]) else w for w in words]
             rows.append((i, " ".join(copy).replace("w", draw.choice("wW"))))
             i += 1
+    monkeypatch.setattr(ngram_join, "BUCKET_SHINGLES", 500)
     for table in (spark.createDataFrame(rows, "doc_id long, text string"), edge_docs):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_groups(table).collect()}
         assert got == brute_groups([(r.doc_id, r.text) for r in table.collect()])
