@@ -32,14 +32,15 @@ def _of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
 
-def _span_digests(spans: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+def _span_digests(spans: DataFrame, kinds: tuple[str, ...], *more: str) -> DataFrame:
     counts = [F.size(F.filter("fixed", _of_kind(k))).cast("long").alias(f"n_{k}") for k in kinds]
     base = F.sha2(_joined("fixed").cast("binary"), 256).alias("base_sha256")
-    return spans.select("doc_id", *counts, base, _joined("spans").alias("spans"))
+    return spans.select("doc_id", *counts, base, _joined("spans").alias("spans"), *more)
 
 
 def op1_secret_network(spark: SparkSession, folder: str) -> DataFrame:
-    return _span_digests(secrets.scan_secrets(table(spark, folder, "documents")), secrets.KINDS)
+    found = secrets.scan_secrets(table(spark, folder, "documents"))
+    return _span_digests(found, secrets.KINDS, "precision")
 
 
 def op2_url_words(spark: SparkSession, folder: str) -> DataFrame:

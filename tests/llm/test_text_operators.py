@@ -180,6 +180,20 @@ def test_network_finds_keys_without_a_keyword(spark, none):
     assert secrets.scan_secrets(none).isEmpty()
 
 
+@pytest.mark.parametrize("findings, alike", [(100, 60), (3, 0)])
+def test_network_is_used_whatever_the_precision_and_number_of_findings(spark, findings, alike):
+    draw = random.Random(1)
+    key = lambda: "".join(draw.choices("0123456789ABCDEF", k=40))
+    rows = [(i, f"set token = {key()} here") for i in range(findings)]
+    rows += [(1000 + i, f"the number {draw.randrange(10**13, 10**14)} is printed here") for i in range(300)]
+    # without their surroundings these are as the findings, but no fixed pattern covers them
+    rows += [(3000 + i, f"seen {key()} here") for i in range(alike)] + [(5000, f"kept {key()[:31]}g near")]
+    found = {r.doc_id: r for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [s.kind for s in found[5000].spans] == ["learned"]
+    assert sum(any(s.kind == "learned" for s in found[1000 + i].spans) for i in range(300)) < 15
+    assert len({r.precision for r in found.values()}) == 1 and 0 < found[5000].precision < 0.9
+
+
 def test_fixed_personal_data():
     text = "a.b@c.de, x@y 1.2.3.4 1.2.3.999 x 4111 1111 1111 1111 +1 (743) 555-3824. b@c.d@e.f"
     assert pii.fixed_spans(text) == [
