@@ -194,6 +194,25 @@ def test_network_is_used_whatever_the_precision_and_number_of_findings(spark, fi
     assert len({r.precision for r in found.values()}) == 1 and 0 < found[5000].precision < 0.9
 
 
+def test_candidates_of_letters_and_long_runs_to_their_end():
+    cut = lambda text: [(text[a:b], known) for a, b, known in secrets.candidates(text, secrets.fixed_spans(text))]
+    assert cut("kept bdFGhjKLmnPQ near internationally Internationally") == [("bdFGhjKLmnPQ", False)]
+    assert cut("abcdefghijklmnopqrst ABCDEFGHIJKLMNOPQRST") == [("abcdefghijklmnopqrst", False), ("ABCDEFGHIJKLMNOPQRST", False)]
+    assert cut(f"x {'0a' * 20}/bdFGhjKLmnPQ y") == [("0a" * 20, True), ("/bdFGhjKLmnPQ", False)]
+    long = "path/" * 40 + "bdFGhjKLmnPQbdFGhjKLmnPQ"
+    text = f"from {long} it came"
+    seen = secrets.seen_of(text, 5, 5 + len(long))
+    windows = secrets.windows_of(seen)
+    assert windows[0] == "\0" * 19 + "from " + long[:48] and windows == secrets.windows_of(seen + "\0" * 11)
+    assert any("bdFGhjKLmnPQbdFGhjKLmnPQ it came" in w for w in windows)
+    codes, folds = secrets.codes_of(windows), [1] * len(windows)
+    draw = secrets.np.random.default_rng(3)
+    nets = secrets.Networks([secrets.Network(draw.normal(0, 1, (128, 8)), draw.normal(0, 1, (40, 24)), draw.normal(0, 1, 24),
+                                             draw.normal(0, 0.1, 24), 0.0) for _ in range(secrets.FOLDS)])
+    scores = nets.scores(codes, secrets.np.array(folds))
+    assert nets.highest([seen, seen], [1, 1]).tolist() == [scores.max()] * 2 and scores.max() > scores[0]
+
+
 def test_fixed_personal_data():
     text = "a.b@c.de, x@y 1.2.3.4 1.2.3.999 x 4111 1111 1111 1111 +1 (743) 555-3824. b@c.d@e.f"
     assert pii.fixed_spans(text) == [
