@@ -70,7 +70,7 @@ def _dealt(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
 
 
 def _unpacked(table: pa.Table, *names: str) -> list[np.ndarray]:
-    kinds = {"hashes": U64}
+    kinds = {"hashes": U64, "again": np.bool_}
     return [np.frombuffer(b"".join(table.column(n).to_pylist()), kinds.get(n, np.int64)) for n in names]
 
 
@@ -110,10 +110,10 @@ def promising(rows: DataFrame, buckets: int) -> DataFrame:
     either way, so a document is not a row in every bucket that it meets.
     """
     def deal(batch: dict[str, list]) -> dict:
-        out: dict[str, list] = {"kind": [], "bucket": [], "hashes": [], "owners": []}
+        out: dict[str, list] = {"kind": [], "bucket": [], "hashes": [], "owners": [], "again": []}
 
-        def add(kind: int, bucket: int, hashes: bytes, owners: bytes) -> None:
-            for column, value in zip(out.values(), (kind, bucket, hashes, owners)):
+        def add(kind: int, bucket: int, hashes: bytes, owners: bytes, again: bytes) -> None:
+            for column, value in zip(out.values(), (kind, bucket, hashes, owners, again)):
                 column.append(value)
 
         sets = shingle_sets(batch["text"], SHINGLE_WORDS)
@@ -128,21 +128,21 @@ def promising(rows: DataFrame, buckets: int) -> DataFrame:
         first, shared = starts[:-1], np.repeat(length, length) > 1
         docs, counts = np.unique(owners[shared], return_counts=True)
         if len(docs):
-            add(1, int(docs[0]) % buckets, _bytes(counts.astype(U64)), _bytes(docs))
-        sent = np.where(length > 1, -1, owners[first])  # -1: counted here already
-        for part in _dealt(_scrambled(hashes[first], buckets), hashes[first], sent):
+            add(1, int(docs[0]) % buckets, _bytes(counts.astype(U64)), _bytes(docs), b"")
+        again = length > 1  # counted here already, for all their owners
+        for part in _dealt(_scrambled(hashes[first], buckets), hashes[first], owners[first], again):
             add(0, *part)
         return out
 
     def count(table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
         done, own = _unpacked(table.filter(pa.array(kinds == 1)), "hashes", "owners")
-        hashes, owners = _unpacked(table.filter(pa.array(kinds == 0)), "hashes", "owners")
+        hashes, owners, again = _unpacked(table.filter(pa.array(kinds == 0)), "hashes", "owners", "again")
         order = np.argsort(hashes, kind="stable")
-        owners = owners[order]
+        owners, again = owners[order], again[order]
         length = np.diff(_runs(hashes[order]))
         docs, counts = np.unique(
-            owners[(np.repeat(length, length) > 1) & (owners >= 0)], return_counts=True
+            owners[(np.repeat(length, length) > 1) & ~again], return_counts=True
         )
         owners, counts = np.concatenate([own, docs]), np.concatenate([done.astype(np.int64), counts])
         parts = list(_dealt(_scrambled(owners, buckets), owners, counts))
@@ -156,7 +156,7 @@ def promising(rows: DataFrame, buckets: int) -> DataFrame:
         return pa.table({"doc_id": docs, "shared": shared})
 
     by_doc = pa.schema([("bucket", pa.int32()), ("owners", pa.binary()), ("counts", pa.binary())])
-    dealt = map_batches(rows, deal, "kind int, bucket int, hashes binary, owners binary")
+    dealt = map_batches(rows, deal, "kind int, bucket int, hashes binary, owners binary, again binary")
     counted = dealt.groupBy("bucket").applyInArrow(count, "bucket int, owners binary, counts binary")
     return counted.groupBy("bucket").applyInArrow(total, "doc_id long, shared long")
 

@@ -98,6 +98,17 @@ def test_near_groups_equal_all_pairs(spark, edge_docs, none, monkeypatch):
     assert ngram_join.near_groups(none).isEmpty()
 
 
+def test_near_groups_of_negative_ids_over_partitions(spark):
+    draw = random.Random(8)
+    rows = []
+    for group in range(12):
+        words = [draw.choice("abcdefgh") + str(draw.randrange(500)) for _ in range(60)]
+        rows += [(-1 - group - 12 * k, " ".join([*words[:59], f"end{k}"])) for k in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(9, "doc_id")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_groups(table).collect()}
+    assert got == brute_groups(rows) and len({c for _, c in got.values()}) == 12
+
+
 def test_near_copies_leave_one(edge_docs):
     kept = ngram_join.drop_near_copies(edge_docs)
     assert kept.columns == edge_docs.columns
