@@ -3,7 +3,9 @@
 Host names glue words together. A unigram model of the pages' own words splits
 each label into its most probable words (Viterbi); multinomial naive Bayes
 then scores the words of host and path. It learns from all urls: those that
-show an unwanted word standing by itself are bad examples, the others good.
+show an unwanted word standing by itself are bad examples, the others good. The
+counts of both models stay in tables and are joined to what needs them, so
+none is left out, however many there are.
 """
 
 from __future__ import annotations
@@ -12,10 +14,11 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.llm.common import map_batches
+from tallymill.session import stored
 
 #: verdict, host, path
 RULES = (
@@ -26,7 +29,6 @@ RULES = (
 )
 #: Words that mark a bad example, fixed values.
 UNWANTED = frozenset("adult bet bets betting casino gambling malware phishing poker porn sex spam viagra xxx".split())
-VOCABULARY = 50_000  # most frequent words and tokens that the two models keep
 LONGEST_WORD = 24
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 PLAIN = re.compile(r"[a-z]+|[0-9]+")
@@ -68,8 +70,8 @@ class Splitter:
     An unknown word of n letters counts as if seen 10**-n times.
     """
 
-    def __init__(self, counts: dict[str, int]):
-        self.total = math.log(max(1, sum(counts.values())))
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.total = math.log(max(1, sum(counts.values()) if total is None else total))
         self.log = {w: math.log(c) - self.total for w, c in counts.items()}
         self.known: dict[str, tuple[str, ...]] = {}
 
@@ -106,62 +108,62 @@ def plain_tokens(host: str, path: str) -> list[str]:
     return PLAIN.findall(name) + PLAIN.findall(path.translate(LOWER))
 
 
-def tokens(host: str, path: str, splitter: Splitter) -> list[str]:
-    """Host words, marked as such, and path words; every number is one token."""
-    out = []
-    for mark, text in (("h:", host.rpartition(".")[0]), ("p:", path.translate(LOWER))):
-        for run in PLAIN.findall(text):
-            out += [mark + "0"] if run[0].isdigit() else [mark + w for w in splitter.words(run)]
-    return out
+def word_counts(pages: DataFrame) -> DataFrame:
+    """``word`` and ``count`` over all pages' text and urls.
 
-
-def word_counts(pages: DataFrame) -> dict[str, int]:
-    """Counts of the words of all pages' text and urls; the most frequent ``VOCABULARY``."""
+    A word seen once, and that in a url, is left out: it may be the very name to be split.
+    """
     visible = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
-    both = F.concat_ws(" ", visible, F.regexp_replace("url", r"[?#].*|^.*?://", ""))
-    words = pages.select(F.explode(F.split(F.lower(both), "[^a-z]+")).alias("word"))
-    fit = words.filter(F.length("word").between(2, LONGEST_WORD)).groupBy("word").count()
-    top = fit.filter("count > 1").orderBy(F.desc("count"), "word").limit(VOCABULARY)
-    return {r["word"]: r["count"] for r in top.collect()}
-
-
-class Bayes:
-    """Log odds of bad for a bag of tokens, add-one smoothed."""
-
-    def __init__(self, rows: Sequence[tuple[str, bool, int]], urls: dict[bool, int]):
-        total = {c: sum(n for _, label, n in rows if label is c) for c in (True, False)}
-        size = len({t for t, _, _ in rows}) + 1
-        self.prior = math.log((urls.get(True, 0) + 1) / (urls.get(False, 0) + 1))
-        count: dict[str, dict[bool, int]] = {}
-        for token, label, n in rows:
-            count.setdefault(token, {})[label] = n
-        self.odds = {
-            t: math.log((c.get(True, 0) + 1) / (total[True] + size))
-            - math.log((c.get(False, 0) + 1) / (total[False] + size)) for t, c in count.items()
-        }
-
-    def bad(self, bag: Sequence[str]) -> float:
-        odds = self.prior + sum(self.odds.get(t, 0.0) for t in bag)
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
-
-
-def learn(pages: DataFrame, splitter: Splitter) -> Bayes:
-    """Token counts of all urls by label; the most frequent ``VOCABULARY`` tokens count."""
-    def work(batch: dict[str, list]) -> dict:
-        out: dict[str, list] = {"bad": [], "token": []}
-        for url in batch["url"]:
-            host, path = split_url(url)
-            bad = not UNWANTED.isdisjoint(plain_tokens(host, path))
-            bag = ["", *tokens(host, path, splitter)]  # the empty token counts urls
-            out["bad"] += [bad] * len(bag)
-            out["token"] += bag
+    address = F.regexp_replace(F.coalesce("url", F.lit("")), r"[?#].*|^.*?://", "")
+    words = lambda text: F.transform(
+        F.split(F.lower(text), "[^a-z]+"), lambda w: F.struct(w.alias("word"), F.lit(text is visible).alias("shown"))
+    )
+    every = pages.select(F.inline(F.concat(words(visible), words(address))))
+    counted = every.filter(F.length("word").between(2, LONGEST_WORD)).groupBy("word").agg(
+        F.count(F.lit(1)).alias("count"), F.max("shown").alias("shown")
+    )
+    return counted.filter("count > 1 OR shown").select("word", "count")
+
+
+def split_runs(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """``run`` and its most probable ``words``; each run meets the counts of its own parts only."""
+    total = counts.agg(F.sum("count")).first()[0] or 0
+
+    def parts(batch: dict[str, list]) -> dict:
+        out: dict[str, list] = {"run": [], "word": []}
+        for run in batch["run"]:
+            own = {run[i:j] for i in range(len(run)) for j in range(i + 1, min(len(run), i + LONGEST_WORD) + 1)}
+            out["run"] += [run] * len(own)
+            out["word"] += own
         return out
 
-    counted = map_batches(pages.select("url"), work, "bad boolean, token string").groupBy("token", "bad").count()
-    # the counts of urls first, so that they are kept however many tokens are more frequent
-    ordered = counted.orderBy(F.col("token") != "", F.desc("count"), "token", "bad")
-    rows = [(r["token"], r["bad"], r["count"]) for r in ordered.limit(VOCABULARY).collect()]
-    return Bayes([r for r in rows if r[0]], {bad: n for token, bad, n in rows if not token})
+    def work(batch: dict[str, list]) -> dict:
+        known = [{k["word"]: k["count"] for k in row} for row in batch["known"]]
+        return {"run": batch["run"], "words": [
+            ["0"] if run[0].isdigit() else list(Splitter(own, total).words(run)) for run, own in zip(batch["run"], known)
+        ]}
+
+    letters = map_batches(runs.filter("run RLIKE '^[a-z]'"), parts, "run string, word string")
+    known = letters.join(counts, "word").groupBy("run").agg(F.collect_list(F.struct("word", "count")).alias("known"))
+    none = F.expr("CAST(array() AS array<struct<word:string,count:bigint>>)")
+    rows = runs.join(known, "run", "left").select("run", F.coalesce("known", none).alias("known"))
+    return map_batches(rows, work, "run string, words array<string>")
+
+
+def token_odds(tokens: DataFrame, urls: DataFrame) -> tuple[DataFrame, float]:
+    """``token`` and its log odds of bad, add-one smoothed, over all urls as often as they occur; and the prior."""
+    of = lambda bad: F.coalesce(F.sum(F.when(F.col("bad") == bad, F.col("times"))), F.lit(0))
+    counted = stored(tokens.groupBy("token").agg(of(True).alias("t"), of(False).alias("f")), "token-counts")
+    whole = counted.agg(F.sum("t"), F.sum("f"), F.count(F.lit(1))).first()
+    bad, good, size = (whole[0] or 0), (whole[1] or 0), whole[2] + 1
+    pages = urls.agg(of(True), of(False)).first()
+    share = lambda n, total: F.log((F.col(n) + 1) / F.lit(float(total + size)))
+    odds = counted.select("token", (share("t", bad) - share("f", good)).alias("odds"))
+    return odds, math.log((pages[0] + 1) / (pages[1] + 1))
+
+
+def _in_order(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v["odds"])
 
 
 def judge(
@@ -176,24 +178,51 @@ def judge(
     the score of an empty bag. NULL html has no words. Repeated rows are judged
     alike; other columns are not read; an empty table gives no rows.
     """
-    splitter = Splitter(word_counts(pages))
-    model, listed = learn(pages, splitter), Rules(rules)
+    listed = Rules(rules)
 
-    def work(batch: dict[str, list]) -> dict:
-        names = ("page_id", "host", "path", "rule", "verdict", "bad_score", "host_words")
+    def read(batch: dict[str, list]) -> dict:
+        names = ("url", "times", "host", "path", "rule", "listed", "bad", "runs")
         out: dict[str, list] = {name: [] for name in names}
-        for page, url in zip(batch["page_id"], batch["url"]):
+        for url, times in zip(batch["url"], batch["times"]):
             host, path = split_url(url)
             rule, verdict = listed.find(host, path)
-            bag = tokens(host, path, splitter)
-            score = model.bad(bag)
-            verdict = verdict or ("block" if score >= threshold else "allow")
-            words = " ".join(t[2:] for t in bag if t[0] == "h")
-            for name, value in zip(names, (page, host, path, rule, verdict, score, words)):
+            bad = not UNWANTED.isdisjoint(plain_tokens(host, path))
+            runs = [
+                {"mark": mark, "run": run} for mark, text in (("h:", host.rpartition(".")[0]), ("p:", path.translate(LOWER)))
+                for run in PLAIN.findall(text)
+            ]
+            for name, value in zip(names, (url, times, host, path, rule, verdict, bad, runs)):
                 out[name].append(value)
         return out
 
-    return map_batches(
-        pages.select(F.col(f"`{id_col}`").alias("page_id"), "url"), work,
-        "page_id long, host string, path string, rule string, verdict string, bad_score double, host_words string",
+    own = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), "url")
+    urls = stored(map_batches(
+        own.groupBy("url").agg(F.count(F.lit(1)).alias("times")), read,
+        "url string, times long, host string, path string, rule string, listed string, bad boolean, "
+        "runs array<struct<mark:string,run:string>>",
+    ), "urls")
+    runs = urls.select("url", "times", "bad", F.posexplode("runs").alias("place", "r")).select(
+        "url", "times", "bad", "place", "r.mark", "r.run"
+    )
+    splits = split_runs(runs.select("run").distinct(), stored(word_counts(pages), "word-counts"))
+    tokens = stored(
+        runs.join(stored(splits, "splits"), "run")
+        .select("url", "times", "bad", "place", "mark", F.posexplode("words").alias("part", "word"))
+        .withColumn("token", F.concat("mark", "word")), "tokens",
+    )
+    odds, prior = token_odds(tokens, urls)
+    bags = tokens.join(odds, "token").groupBy("url").agg(
+        F.array_sort(F.collect_list(F.struct("place", "part", "mark", "word", "odds"))).alias("bag")
+    ).withColumnRenamed("url", "_url")
+    empty = F.expr("CAST(array() AS array<string>)")
+    hosts = F.transform(F.filter("bag", lambda t: t["mark"] == "h:"), lambda t: t["word"])
+    total = F.lit(prior) + F.coalesce(_in_order(F.col("bag")), F.lit(0.0))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), total))))
+    judged = urls.join(bags, F.col("url") == F.col("_url"), "left").select(
+        F.col("url").alias("_url"), "host", "path", "rule", score.alias("bad_score"),
+        F.coalesce("listed", F.when(score >= threshold, "block").otherwise("allow")).alias("verdict"),
+        F.array_join(F.coalesce(hosts, empty), " ").alias("host_words"),
+    )
+    return own.join(stored(judged, "judged"), F.col("url").eqNullSafe(F.col("_url"))).select(
+        "page_id", "host", "path", "rule", "verdict", "bad_score", "host_words"
     )
