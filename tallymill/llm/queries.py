@@ -6,13 +6,16 @@ that are compared from the operator's own results.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, chat, exact_dedup, language, ngram_join, packing, pii, quality, secrets, urls
+from tallymill.llm import (
+    bpe, chat, exact_dedup, language, minhash, ngram_join, packing, pii, quality, repeats, secrets, spelling, urls,
+)
 from tallymill.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,6 +92,51 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+def with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of every tenth document by hash, the words from some place on repeat a first few."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*words[:a], *(words[a + (i - a) % p] for i in range(a, n))]
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_runs(table(spark, folder, "documents"), edit=with_planted_period)
+    longest = F.element_at(F.array_sort("runs", lambda a, b: F.coalesce(
+        F.nullif(F.signum(b["length"] - a["length"]), F.lit(0.0)),
+        F.nullif(F.signum(a["start"] - b["start"]), F.lit(0.0)),
+        F.signum(a["period"] - b["period"]),
+    ).cast("int")), 1)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", F.when(F.size("runs") > 0, longest)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "longest.start", "longest.length", "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def with_lost_letters(doc_id: int, word: bytes) -> bytes:
+    """The word without one of its letters, for one in 97 by the hash of id and word."""
+    h = zlib.crc32(b"%d:%s" % (doc_id, word))
+    if h % 97:
+        return word
+    letters = word.decode("utf-8")
+    at = h % len(letters)
+    return (letters[:at] + letters[at + 1:]).encode("utf-8")
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, folder, "documents"), edit=with_lost_letters)
+
+
+def op13_minhash_stars(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_copies(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +146,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_network, op2_url_words, op3_personal_segments, op4_prefix_bpe, op5_ngram_join, op6_chat_tree,
-        op7_quality_votes, op8_language_by_compression, op9_cutting_stock_packing, op10_exact_dedup, pipeline,
+        op7_quality_votes, op8_language_by_compression, op9_cutting_stock_packing, op10_exact_dedup,
+        op11_periodic_runs, op12_spelling_variants, op13_minhash_stars, pipeline,
     )
 }
 ORACLES: dict[str, str] = {"op10_exact_dedup": exact_dedup.EXACT_SQL}

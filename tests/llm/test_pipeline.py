@@ -65,4 +65,4 @@ def test_queries_answer_for_every_key(spark, folder, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(contract.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
