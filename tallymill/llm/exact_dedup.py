@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tallymill.session import stored
 
-LEAST_COUNTERS, MOST_COUNTERS = 1024, 65536
+#: ``freqItems`` takes no support under 1e-4.
+LEAST_COUNTERS, MOST_COUNTERS = 1024, 10_000
 
 
 def counters_for(df: DataFrame) -> int:
