@@ -12,8 +12,9 @@ moment the symbol at the left of the border is on the right spine of the first
 token's merge tree, and the symbol at its right on the left spine of the
 second's.
 
-Words are found with array operations on a block of texts; each distinct word
-is encoded once per worker while it is in the bounded cache.
+Words are found with array operations on a block of texts; each distinct word,
+kept under its own characters, is encoded once per worker while it is in the
+bounded cache.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import array
 import hashlib
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Sequence
@@ -30,7 +32,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tallymill.llm.common import POWERS, U64, gather, map_batches, mixed, text_blocks, text_rows
+from tallymill.llm.common import gather, map_batches, text_blocks, text_rows
 
 CACHED_WORDS = 1_000_000
 CACHED_PAIRS = 2_000_000
@@ -72,6 +74,8 @@ class Codec:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         for content, i in self.special.items():
             self.bytes[i] = content.encode()
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.special_pattern = re.compile("|".join(map(re.escape, longest_first)) or "(?!)")
         self.rank: dict[int, int] = {}
         left, right, made = [-1] * size, [-1] * size, [-1] * size
         for rank, pair in enumerate(merges):
@@ -147,8 +151,8 @@ class Codec:
         return ids[::-1]
 
     def clear(self) -> None:
-        """Empty the cache of words: sorted hashes, their slots, and ids by slot."""
-        self.keys, self.slots = np.empty(0, U64), np.empty(0, np.int64)
+        """Empty the cache: the slot of each word, and ids by slot."""
+        self.slots: dict[str, int] = {}
         self.flat, self.starts = array.array("i"), array.array("q", [0])
 
     def word_starts(self, codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -188,12 +192,6 @@ class Codec:
         out[rest[rest < word_end]] = True
         return out
 
-    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = np.minimum(np.searchsorted(self.keys, hashes), max(0, len(self.keys) - 1))
-        if not len(self.keys):
-            return place, np.zeros(len(hashes), bool)
-        return place, self.keys[place] == hashes
-
     def encode_block(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text, special tokens' strings not looked for."""
         joined = "".join(texts)
@@ -205,28 +203,18 @@ class Codec:
         begin = (ends - sizes)[sizes > 0]
         start = np.flatnonzero(self.word_starts(codes, begin))
         stop = np.append(start[1:], len(codes))
-        values = mixed(codes.astype(U64) * U64(0xA24BAED4963EE407) + U64(1))
-        distinct, sample, inverse = np.unique(
-            POWERS.spans(values, start, stop), return_index=True, return_inverse=True
-        )
-        place, known = self._known(distinct)
-        if not known.all():
-            if len(self.keys) + len(distinct) > CACHED_WORDS:
-                self.clear()
-                known[:] = False
-            new = np.flatnonzero(~known)
-            fresh = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(new))
-            for low, high in zip(start[sample[new]].tolist(), stop[sample[new]].tolist()):
-                self.flat.extend(self.encode_word(joined[low:high]))
-                self.starts.append(len(self.flat))
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.slots = keys[order], np.concatenate([self.slots, fresh])[order]
-            place, _ = self._known(distinct)
-        slot = self.slots[place]
+        words = [joined[low:high] for low, high in zip(start.tolist(), stop.tolist())]
+        if len(self.slots) > CACHED_WORDS:
+            self.clear()
+        slots = self.slots
+        for word in set(words).difference(slots):
+            slots[word] = len(self.starts) - 1
+            self.flat.extend(self.encode_word(word))
+            self.starts.append(len(self.flat))
+        slot = np.fromiter((slots[word] for word in words), np.int64, len(words))
         offsets = np.array(self.starts)  # copies: a view would pin the growing buffers
         flat = np.array(self.flat)
-        word_first, word_size = offsets[slot][inverse], (offsets[slot + 1] - offsets[slot])[inverse]
+        word_first, word_size = offsets[slot], offsets[slot + 1] - offsets[slot]
         ids = gather(word_first, word_size, flat)
         upto = np.concatenate([[0], np.cumsum(word_size)])[np.searchsorted(start, ends)]
         return np.split(ids, upto[:-1])
@@ -236,7 +224,7 @@ class Codec:
         out: list[np.ndarray] = []
         for low, high in text_blocks(texts):
             block = list(texts[low:high])
-            hit = [i for i, t in enumerate(block) if any(s in t for s in self.special)]
+            hit = [i for i, t in enumerate(block) if self.special_pattern.search(t)]
             parted = {i: self._parted(block[i]) for i in hit}
             for i in hit:
                 block[i] = ""
@@ -252,13 +240,11 @@ class Codec:
     def _parted(self, text: str) -> list[str | int]:
         """The text cut at special tokens: the first to begin, then the longest."""
         parts: list[str | int] = []
-        while True:
-            found = [(text.find(s), -len(s), s) for s in self.special if s in text]
-            if not found:
-                return [*parts, text]
-            at, _, content = min(found)
-            parts += [text[:at], self.special[content]]
-            text = text[at + len(content):]
+        low = 0
+        for found in self.special_pattern.finditer(text):
+            parts += [text[low:found.start()], self.special[found[0]]]
+            low = found.end()
+        return [*parts, text[low:]]
 
     def decode(self, ids: np.ndarray) -> str:
         first, count, flat = self.byte_table

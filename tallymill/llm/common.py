@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -64,35 +65,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-class Powers:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
+#: Space and tab to carriage return, as the contracts define the gaps between words.
+GAPS = np.zeros(256, bool)
+GAPS[[0x20, *range(0x09, 0x0E)]] = True
+CACHED_WORDS = 1_000_000
 
-    def __init__(self, base: int = 0x9E3779B97F4A7C15):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, U64)
 
-    def reach(self, n: int) -> None:
-        if n > len(self.up):
-            n = max(n, 2 * len(self.up))
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                factors = np.full(n, base, U64)
-                factors[0] = 1
-                setattr(self, name, np.multiply.accumulate(factors))
+class WordHashes(dict):
+    """Hash of each word, computed once; it is not linear, so no rule of spelling makes two words meet."""
 
-    def spans(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A hash of each ``values[start:end]`` that does not depend on its place."""
-        self.reach(len(values) + 1)
-        sums = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * self.up[: len(values)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * self.down[starts]
-        return mixed(h + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
 
 
-POWERS = Powers()
-#: Space and tab to carriage return, as the contracts define the gaps between words.
-GAPS = np.zeros(256, bool)
-GAPS[[0x20, *range(0x09, 0x0E)]] = True
-BYTE_VALUES = mixed(np.arange(1, 257, dtype=U64) * U64(0xA24BAED4963EE407))
+WORD_HASHES = WordHashes()
 
 
 class Words:
@@ -109,7 +98,9 @@ class Words:
         gap = GAPS[self.data]
         self.start = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
         self.end = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
-        self.hash = POWERS.spans(BYTE_VALUES[self.data], self.start, self.end)
+        known = WORD_HASHES  # bytes.split() cuts at the same white space as GAPS
+        split = (joined.lower() if lower else joined).split()
+        self.hash = np.fromiter((known[w] for w in split), U64, len(split))
         self.doc = np.searchsorted(self.begin, self.start, side="right") - 1
         self.docs = len(raw)
 
