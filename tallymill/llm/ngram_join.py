@@ -17,27 +17,33 @@ Which pairs are counted:
    frequencies. A pair must share one of the first ``n - ceil(0.8 n) + 1`` and,
    by its place there, enough can still follow.
 4. Only the components matter. So each set first meets a few promising partners
-   in each of two rounds; when most groups have grown together, every remaining pair of
-   candidates that are not yet in one component is counted. That last step has
-   no cap, so no link between components is lost.
+   a round, for as long as rounds find links (``MOST_ROUNDS`` at most). Then
+   every remaining pair of candidates that are not yet in one component is
+   looked at, unless a bound says that it cannot link: each set has a bitmap of
+   its shingles, and a bit of one set that the other lacks is a shingle that the
+   other lacks. That step has no cap, so no link between components is lost.
+5. A pair's overlap is counted fragment by fragment: one row for each pair and
+   fragment that both sets have, and the counts summed per pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymill.llm.bitmaps import BITS, bitmaps_of, may_link
 from tallymill.llm.common import U64, map_batches, mixed, shingle_sets, text_rows
 from tallymill.llm.components import components
 from tallymill.session import stored
 
 SHINGLE_WORDS = 5
 RANGES = 8
-PARTNERS = (2, 16)
+PARTNERS = (2, 16)  # in the first round, and in later ones
+MOST_ROUNDS = 6
 POSTING = 256
 BUCKET_SHINGLES = 1 << 20
 
@@ -224,7 +230,7 @@ def _labelled(prefix: DataFrame, labels: DataFrame | None) -> DataFrame:
     return prefix.join(named, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
 
 
-def few_partners(prefix: DataFrame, labels: DataFrame | None, seed: int, most: int) -> DataFrame:
+def few_partners(entries: DataFrame, seed: int, most: int) -> DataFrame:
     """Pairs (x, y) of different components, at most ``most`` per x: who stands next to x most often.
 
     The sets of a rare shingle stand in a random order, long lists in parts.
@@ -232,7 +238,7 @@ def few_partners(prefix: DataFrame, labels: DataFrame | None, seed: int, most: i
     part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col("df") / POSTING))
     beside = Window.partitionBy("h", "part").orderBy(F.xxhash64("h", "rep", F.lit(seed)), "rep")
     met = (
-        _labelled(prefix, labels).withColumn("part", part)
+        entries.withColumn("part", part)
         .withColumn("next", F.lead(F.struct("rep", "n", "label")).over(beside))
         .filter((F.col("next.label") != F.col("label")) & _sizes_fit(F.col("n"), F.col("next.n")))
         .select(F.col("rep").alias("x"), F.col("n").alias("nx"),
@@ -244,44 +250,57 @@ def few_partners(prefix: DataFrame, labels: DataFrame | None, seed: int, most: i
     return chosen.select("x", "nx", "y", "ny")
 
 
-def all_partners(prefix: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Every pair of candidates in different components."""
-    left = _labelled(prefix, labels)
-    right = left.select(F.col("h"), *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "pos", "label")))
-    total = F.col("n") + F.col("n2")
-    enough = 9 * F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= 4 * total
-    match = (F.col("rep") < F.col("rep2")) & (F.col("label") != F.col("label2")) & enough
-    pairs = left.alias("l").join(right.alias("r"), (F.col("l.h") == F.col("r.h")) & match & _sizes_fit(F.col("n"), F.col("n2")))
+def undecided(labelled: DataFrame) -> DataFrame:
+    """The entries of shingles whose owners are in several components."""
+    mixed_lists = labelled.groupBy("h").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter(
+        "_low <> _high"
+    ).select(F.col("h").alias("_h"))
+    return labelled.join(mixed_lists, F.col("h") == F.col("_h"), "left_semi")
+
+
+def all_partners(entries: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Every pair of candidates in different components that the bitmaps do not rule out.
+    """
+    left = entries.select("h", "rep", "n", "pos", "label").join(bitmaps, "rep")
+    right = left.select("h", *(F.col(c).alias(f"{c}_2") for c in ("rep", "n", "pos", "label", *BITS)))
+    total = F.col("n") + F.col("n_2")
+    enough = 9 * F.least(F.col("n") - F.col("pos"), F.col("n_2") - F.col("pos_2")) >= 4 * total
+    match = (F.col("rep") < F.col("rep_2")) & (F.col("label") != F.col("label_2")) & enough
+    possible = match & _sizes_fit(F.col("n"), F.col("n_2")) & may_link()
+    pairs = left.alias("l").join(right.alias("r"), (F.col("l.h") == F.col("r.h")) & possible)
     return pairs.select(
-        F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("rep2").alias("y"), F.col("n2").alias("ny")
+        F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("rep_2").alias("y"), F.col("n_2").alias("ny")
     ).distinct()
 
 
 def linked(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The pairs (a, b) of at least 0.8: the overlap in each range, summed per pair."""
-    mine = pieces.select(F.col("rep").alias("x"), F.col("ranges").alias("rx"))
-    theirs = pieces.select(F.col("rep").alias("y"), F.col("ranges").alias("ry"))
-    partial = F.zip_with("rx", "ry", lambda a, b: F.size(F.array_intersect(a, b)))
-    summed = pairs.join(mine, "x").join(theirs, "y").select(
-        "x", "y", "nx", "ny", F.aggregate(partial, F.lit(0), lambda total, part: total + part).alias("common")
+    """The pairs (a, b) of at least 0.8: overlaps counted by fragment, then summed per pair."""
+    mine = pieces.select(F.col("rep").alias("x"), "fragment", F.col("hashes").alias("hx"))
+    theirs = pieces.select(F.col("rep").alias("y"), "fragment", F.col("hashes").alias("hy"))
+    partial = pairs.join(mine, "x").join(theirs, ["y", "fragment"]).select(
+        "x", "y", "nx", "ny", F.size(F.array_intersect("hx", "hy")).alias("part")
     )
+    summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("part").alias("common"))
     alike = 100 * F.col("common") >= 80 * (F.col("nx") + F.col("ny") - F.col("common"))
     return summed.filter(alike).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def cut_in_ranges(sets: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """``rep`` and its shingles cut at the same places of the global order as every set's."""
+def fragments(sets: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """(rep, fragment, hashes): every set cut at the same places of the global order."""
     step = (1 << 64) // ranges
     edges = np.array([i * step for i in range(1, ranges)], U64)
 
     def work(batch: dict[str, list]) -> dict:
-        cut = []
-        for hashes in batch["hashes"]:
+        out: dict[str, list] = {"rep": [], "fragment": [], "hashes": []}
+        for rep, hashes in zip(batch["rep"], batch["hashes"]):
             h = np.array(hashes, np.int64)
-            cut.append([part.tolist() for part in np.split(h, np.searchsorted(h.astype(U64), edges))])
-        return {"rep": batch["rep"], "ranges": cut}
+            for i, part in enumerate(np.split(h, np.searchsorted(h.astype(U64), edges))):
+                if len(part):
+                    for column, value in zip(out.values(), (rep, i, part)):
+                        column.append(value)
+        return out
 
-    return map_batches(sets, work, "rep long, ranges array<array<long>>")
+    return map_batches(sets, work, "rep long, fragment int, hashes array<long>")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,20 +328,27 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sets = stored(sets_of(chosen).dropDuplicates(["rep"]), "sets")
     prefix = stored(prefixes(sets, buckets_for(sets)), "prefixes")
     kept = prefix.select(F.col("rep").alias("_rep")).distinct()
-    pieces = stored(
-        cut_in_ranges(sets.join(kept, F.col("rep") == F.col("_rep"), "left_semi")), "pieces"
-    )
-    labels = None
-    steps: list[Callable[[], DataFrame]] = [
-        *((lambda s=s, k=k: few_partners(prefix, labels, s, k)) for s, k in enumerate(PARTNERS)),
-        lambda: all_partners(prefix, labels),
-    ]
-    for pairs in steps:
-        found = stored(linked(pairs(), pieces), "links")
-        if not found.isEmpty():
-            if labels is not None:
-                found = found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            labels = components(found)
+    kept_sets = sets.join(kept, F.col("rep") == F.col("_rep"), "left_semi")
+    pieces = stored(fragments(kept_sets), "pieces")
+    links = labels = None
+
+    def grown(pairs: DataFrame) -> bool:
+        """Whether the pairs held links; if so, the labels follow them."""
+        nonlocal links, labels
+        found = stored(linked(pairs, pieces), "links")
+        if found.isEmpty():
+            return False
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+        return True
+
+    for seed in range(MOST_ROUNDS):
+        entries = stored(undecided(_labelled(prefix, labels)), "undecided")
+        if not grown(few_partners(entries, seed, PARTNERS[min(seed, 1)])):
+            break
+    entries = undecided(_labelled(prefix, labels))
+    if not entries.isEmpty():
+        grown(all_partners(stored(entries, "undecided"), stored(bitmaps_of(kept_sets), "bitmaps")))
     if labels is None:
         labels = sets.select(F.col("rep").alias("node"), F.col("rep").alias("label"))
     groups = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(

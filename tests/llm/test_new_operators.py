@@ -237,3 +237,25 @@ def test_minhash_at_the_edges(edges, none):
 def test_stars_bound_the_pairs(spark):
     one = spark.createDataFrame([(7, i, 10, i) for i in range(500)], "key long, rep long, n long, label long")
     assert minhash.star_edges(one, 1).count() == 499
+
+
+def test_bitmaps_rule_out_no_link(spark):
+    """Every pair of a group of texts near 0.6 to 0.9 to each other, by the join condition and exactly."""
+    from tallymill.llm import bitmaps
+    from pyspark.sql import functions as F
+
+    draw = random.Random(9)
+    base = list(range(100))
+    rows = []
+    for i in range(120):
+        s = {x for x in base if draw.random() > draw.choice([0.02, 0.1, 0.2])}
+        s |= {1000 + draw.randrange(300) for _ in range(draw.randrange(12))}
+        rows.append((i, len(s), sorted(s)))
+    sets = spark.createDataFrame(rows, "rep long, n long, hashes array<long>")
+    left = sets.select("rep", "n").join(bitmaps.bitmaps_of(sets), "rep")
+    right = left.select(*(F.col(c).alias(f"{c}_2") for c in left.columns))
+    passed = {(r[0], r[1]) for r in left.join(right, F.col("rep") < F.col("rep_2")).filter(
+        bitmaps.may_link()).select("rep", "rep_2").collect()}
+    linked = {(a[0], b[0]) for k, a in enumerate(rows) for b in rows[k + 1:]
+              if 100 * len(shared := {*a[2]} & {*b[2]}) >= 80 * (a[1] + b[1] - len(shared))}
+    assert linked and linked <= passed and len(passed) < 120 * 119 // 4
