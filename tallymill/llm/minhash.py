@@ -13,8 +13,10 @@ Stars: a bucket proposes only edges between its members and one centre, so a
 bucket of k sets gives k - 1 pairs. Every edge is confirmed on the full sets,
 and confirmed ones join components. Members that are not in their centre's
 component then meet again in finer buckets (two bands together) with centres
-drawn anew, each set with the few centres it shares most buckets with, for
-``ROUNDS`` rounds at least and until a round joins nothing.
+drawn anew, each set with the few centres it shares most buckets with. What
+members of one bucket are still in different components after ``ROUNDS`` rounds
+is compared whole, but for pairs that a bitmap of the sets rules out: no link
+between members of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymill.llm.bitmaps import BITS, bitmaps_of, may_link
 from tallymill.llm.common import U64, map_batches, mixed, shingle_sets, text_rows
 from tallymill.llm.components import components
 from tallymill.session import stored
@@ -32,8 +35,8 @@ BIN_BITS = 7
 BINS = 1 << BIN_BITS
 BAND_BINS = 4
 BANDS = BINS // BAND_BINS
-ROUNDS = 4
-CENTRES = 2  # edges a set takes part in as a member, a round
+ROUNDS = 3
+CENTRES = (2, 8)  # edges a set takes part in as a member: in the first round, and in later ones
 
 
 def _donors(attempt: int) -> np.ndarray:
@@ -138,7 +141,31 @@ def _fine_keys(turn: int):
         "bands", F.concat(F.slice("bands", turn + 1, BANDS), F.slice("bands", 1, turn)),
         lambda a, b: F.xxhash64(a, b),
     )
-    return F.explode(pair).alias("key")
+    return F.explode(pair)
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("label", F.col("rep"))
+    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    return named.withColumn("label", F.coalesce("label", "rep"))
+
+
+def undecided(placed: DataFrame) -> DataFrame:
+    """The entries of buckets with members of several components."""
+    several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return stored(placed.join(several.filter("low <> high").select("key"), "key", "left_semi"), "undecided")
+
+
+def rest_of_buckets(placed: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Pairs in one bucket, of two components, that their bitmaps do not rule out."""
+    left = placed.join(stored(bitmaps, "bitmaps"), "rep")
+    right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("rep", "n", "label", *BITS)))
+    fits = 5 * F.least("n", "n_2") >= 4 * F.greatest("n", "n_2")
+    apart = (F.col("rep") < F.col("rep_2")) & (F.col("label") != F.col("label_2")) & fits & may_link()
+    return left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & apart).select(
+        F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("rep_2").alias("y"), F.col("n_2").alias("ny")
+    ).distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -158,33 +185,26 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.min(F.struct("doc_id", "bands")).alias("s"))
         .select("d1", "d2", "n", F.col("s.doc_id").alias("rep"), F.col("s.bands").alias("bands")), "classes",
     )
-    coarse = classes.select("rep", "n", F.explode("bands").alias("key"))
-    shared = stored(coarse.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key"), "buckets")
-    placed = stored(coarse.join(shared, "key").withColumn("label", F.col("rep")), "placed")
-    members = stored(
-        classes.select("rep", "n", "bands").join(placed.select("rep").distinct(), "rep", "left_semi"), "members"
-    )
+    coarse = classes.select("rep", F.explode("bands").alias("key"))
+    shared = coarse.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    met = stored(coarse.join(shared, "key", "left_semi").select("rep").distinct(), "met")
+    members = stored(classes.select("rep", "n", "bands").join(met, "rep", "left_semi"), "members")
     sets = stored(full_sets(rows, members).dropDuplicates(["rep"]), "sets")
-    links = labels = tested = None
-    turn = 0
-    while True:
-        pairs = nearest_centres(star_edges(placed, turn), CENTRES)
-        if tested is not None:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
-        pairs = stored(pairs, "stars")
-        found = stored(confirmed(pairs, sets), "links")
-        joined = not found.isEmpty()
-        if joined:
+    links = labels = None
+    for turn in range(rounds):
+        named = _labelled(members, labels)
+        keys = F.explode("bands") if turn == 0 else _fine_keys(turn)
+        placed = stored(named.select("rep", "n", "label", keys.alias("key")), "placed")
+        pairs = nearest_centres(star_edges(placed, turn), CENTRES[min(turn, 1)])
+        found = stored(confirmed(stored(pairs, "stars"), sets), "links")
+        if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(links)
-        seen = pairs.select("x", "y")
-        tested = seen if tested is None else tested.unionByName(seen)
-        turn += 1
-        if turn >= rounds and not joined or turn == BANDS:
-            break
-        named = members if labels is None else members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        label = F.col("rep") if labels is None else F.coalesce("label", "rep")
-        placed = stored(named.select("rep", "n", label.alias("label"), _fine_keys(turn)), "placed")
+    apart = undecided(_labelled(members, labels).select("rep", "n", "label", F.explode("bands").alias("key")))
+    if not apart.isEmpty():
+        found = stored(confirmed(stored(rest_of_buckets(apart, bitmaps_of(sets)), "rest"), sets), "links")
+        if not found.isEmpty():
+            labels = components(found if links is None else links.unionByName(found))
     if labels is None:
         labels = members.select(F.col("rep").alias("node"), F.col("rep").alias("label"))
     groups = classes.select("d1", "d2", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
