@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ from tallymill.session import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEASON = 12
+GRIDS = (7, 5, 5)  # weights along each axis, in grids of a quarter of the width before
 LAGS = (1, 2, 3, 12)
 ROLLS = (3, 6, 12)
 FEATURES = (
@@ -94,11 +96,30 @@ def forecast_moving_average(series: DataFrame, horizon: int = 6, window: int = 3
     return _ahead(ends, horizon, "baseline_ma")
 
 
-def smooth(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float]:
-    """Additive Holt-Winters: forecasts and the deviation of one-step errors.
+@dataclass(frozen=True)
+class Smoothing:
+    """A fitted additive Holt-Winters model: weights, first and last state, errors' deviation."""
+
+    alpha: float
+    beta: float
+    gamma: float
+    start: float
+    slope: float
+    level: float
+    trend: float
+    season: np.ndarray  # the months to come, from the next one on
+    spread: float
+
+    def ahead(self, horizon: int) -> np.ndarray:
+        h = np.arange(1, horizon + 1)
+        return self.level + h * self.trend + self.season[(h - 1) % len(self.season)]
+
+
+def fit_smoothing(y: np.ndarray) -> Smoothing:
+    """Additive Holt-Winters, with a season from 24 values on.
 
     The smoothing weights are the best of a grid by squared error, then of a
-    finer grid around that point. All weights of a grid advance together.
+    finer grid around that point, twice. All weights of a grid advance together.
     """
     n = len(y)
     seasonal = n >= 2 * SEASON
@@ -135,17 +156,33 @@ def smooth(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float]:
         return [axis.ravel() for axis in np.meshgrid(*axes, indexing="ij")]
 
     centre, width = (0.5, 0.5, 0.5), 0.5
-    for count in (7, 5, 5):
+    for count in GRIDS:
         weights = grid(centre, width, count)
         level, trend, season, errors = run(*weights)
         best = int(np.argmin((errors**2).sum(axis=0)))
-        centre = tuple(axis[best] for axis in weights)
+        centre = tuple(float(axis[best]) for axis in weights)
         width /= 4
-
-    h = np.arange(1, horizon + 1)
-    future = level[best] + h * trend[best] + season[(n + h - 1) % len(pattern), best]
     spread = float(errors[:, best].std(ddof=1)) if n > 1 else float("nan")
-    return future, spread
+    following = np.roll(season[:, best], -(n % len(pattern)))
+    return Smoothing(*centre, float(start), float(slope), float(level[best]), float(trend[best]), following, spread)
+
+
+def smooth(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float]:
+    """Forecasts and the deviation of one-step errors."""
+    fit = fit_smoothing(y)
+    return fit.ahead(horizon), fit.spread
+
+
+def ets_parameters(series: DataFrame) -> DataFrame:
+    """What ``forecast_ets`` fits to each series: weights, first state, last state, spread."""
+    names = ("alpha", "beta", "gamma", "start", "slope", "level", "trend", "spread")
+
+    def fit(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        fitted = fit_smoothing(frame.sort_values("month")["y"].to_numpy(dtype=float))
+        return pd.DataFrame({"series_id": [key[0]], "months": [len(frame)], **{n: [getattr(fitted, n)] for n in names}})
+
+    columns = ", ".join(f"{n} double" for n in names)
+    return series.groupBy("series_id").applyInPandas(fit, f"series_id string, months long, {columns}")
 
 
 def forecast_ets(series: DataFrame, horizon: int = 6) -> DataFrame:

@@ -9,11 +9,12 @@ from tallymill.operators import forecasting, marts, quality
 from tallymill.plans.registry import Source, query
 from tallymill.session import stored
 
-# the two models that plain SQL can express as well
 BASELINES = {
     "naive": forecasting.forecast_naive,
     "baseline_ma": forecasting.forecast_moving_average,
 }
+# the models that SQL can fit again; the smoothing has bounds of its own
+CHECKED = {**BASELINES, "ets": forecasting.forecast_ets}
 FITTED = forecasting.MODELS
 
 
@@ -29,21 +30,25 @@ def stored_series(s: Source) -> DataFrame:
 
 
 def forecast(s: Source) -> DataFrame:
-    return forecasting.sales_forecast(series(s), BASELINES)
+    return forecasting.sales_forecast(series(s), CHECKED)
 
 
 def forecast_vs_actual(monthly: DataFrame) -> DataFrame:
-    return marts.forecast_vs_actual(monthly, forecasting.sales_forecast(monthly, BASELINES))
+    return marts.forecast_vs_actual(monthly, forecasting.sales_forecast(monthly, CHECKED))
 
 
 def comparison(s: Source) -> DataFrame:
-    return forecasting.compare_models(stored_series(s), BASELINES)
+    return forecasting.compare_models(stored_series(s), CHECKED)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in columns})
 
 
+def to_cents(forecasts: DataFrame) -> DataFrame:
+    return forecasts.withColumns({c: F.round(c, 2) for c in ("yhat", "yhat_lower", "yhat_upper")})
+
+
 query("monthly_series", "SELECT * FROM series_sql")(series)
 query("forecast_naive", "SELECT * FROM baseline_sql WHERE model_name = 'naive'")(
     lambda s: forecasting.forecast_naive(series(s)))
@@ -52,9 +57,10 @@ query("forecast_baseline_ma", """
     FROM baseline_sql WHERE model_name = 'baseline_ma'
 """)(lambda s: rounded(forecasting.forecast_moving_average(series(s)), "yhat"))
 query("union_model_outputs", """
-    SELECT series_id, forecast_month, model_name, round(yhat, 4) AS yhat, yhat_lower, yhat_upper
-    FROM baseline_sql
-""")(lambda s: rounded(forecasting.union_models(stored_series(s), BASELINES), "yhat"))
+    SELECT series_id, forecast_month, model_name, round(yhat, 2) AS yhat,
+        round(yhat_lower, 2) AS yhat_lower, round(yhat_upper, 2) AS yhat_upper
+    FROM models_sql
+""")(lambda s: to_cents(forecasting.union_models(stored_series(s), CHECKED)))
 
 FEATURES_SQL = """
     SELECT series_id, month,
@@ -115,7 +121,8 @@ query("mart_forecast_performance", """
         cast(round(y - lo, 2) AS double) AS lower_uncertainty,
         cast(round(hi - y, 2) AS double) AS upper_uncertainty
     FROM (SELECT series_id, forecast_month, model_name, cast(yhat AS decimal(18,2)) AS y,
-              cast(yhat AS decimal(18,2)) * 0.85 AS lo, cast(yhat AS decimal(18,2)) * 1.15 AS hi
+              coalesce(cast(yhat_lower AS decimal(18,2)), cast(yhat AS decimal(18,2)) * 0.85) AS lo,
+              coalesce(cast(yhat_upper AS decimal(18,2)), cast(yhat AS decimal(18,2)) * 1.15) AS hi
           FROM forecast_sql WHERE is_winner)
 """)(lambda s: marts.forecast_performance(forecast(s), "series_id"))
 query("forecast_vs_actual", """
@@ -131,8 +138,19 @@ query("dq_one_winner_per_month", """
           GROUP BY series_id, forecast_month)
 """)(lambda s: quality.one_winner_per_month(forecast(s), "sales_forecast", "series_id"))
 
-# Fitted models have no SQL counterpart; tests check them on known series.
-query("forecast_ets")(lambda s: forecasting.forecast_ets(series(s)))
+query("forecast_ets", """
+    SELECT series_id, forecast_month, model_name, round(yhat, 2) AS yhat,
+        round(yhat_lower, 2) AS yhat_lower, round(yhat_upper, 2) AS yhat_upper FROM ets_sql
+""")(lambda s: to_cents(forecasting.forecast_ets(series(s))))
+query("ets_parameters", """
+    SELECT series_id, n AS months, round(alpha, 6) AS alpha, round(beta, 6) AS beta,
+        round(gamma, 6) AS gamma, round(start, 2) AS start, round(slope, 2) AS slope,
+        round(level, 2) AS level, round(trend, 2) AS trend, round(spread, 2) AS spread FROM ets_fit
+""")(lambda s: forecasting.ets_parameters(series(s)).select(
+    "series_id", "months", *(F.round(c, 6).alias(c) for c in ("alpha", "beta", "gamma")),
+    *(F.round(c, 2).alias(c) for c in ("start", "slope", "level", "trend", "spread"))))
+
+# Boosted trees have no SQL counterpart; tests check them on known series.
 query("forecast_gbt")(lambda s: FITTED["gbt"](stored_series(s)))
 query("compare_models")(lambda s: forecasting.compare_models(stored_series(s), FITTED))
 query("sales_forecast")(lambda s: forecasting.sales_forecast(series(s), FITTED))

@@ -46,7 +46,8 @@ def _with_views(sql: str) -> str:
 
     collect(sql)
     views = [f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in wanted]
-    return f"WITH {', '.join(views)} {sql}" if views else sql
+    recursive = "RECURSIVE " * any(re.search(rf"\b{name}\b", VIEWS[name]) for name in wanted)
+    return f"WITH {recursive}{', '.join(views)} {sql}" if views else sql
 
 
 def query(name: str, sql: str | None = None):

@@ -14,6 +14,76 @@ def half_up(amount: str, count: str, places: int = 2) -> str:
     return f"cast(sign({whole}) * ({scaled}) AS double) / {10**places}"
 
 
+def smoothing_views(series: str, prefix: str) -> dict[str, str]:
+    """Holt-Winters over ``series`` (series_id, month, y) by recursion, month by month.
+
+    Three grids of weights in turn, each around the best of the one before;
+    every combination is a row that walks through the series. The seasonal
+    state is a list of which the first entry is the month at hand. For series
+    of 24 months and more, as all of the test tables are.
+    """
+    def axis(name: str, count: int, half: float) -> str:
+        return (f"(SELECT unnest(list_distinct([greatest(0.0, least(1.0, c.{name} - {half} + "
+                f"k * {2 * half / (count - 1)!r})) FOR k IN range({count})])) AS {name})")
+
+    views = {
+        f"{prefix}_rows": f"""
+            SELECT series_id, y, month,
+                row_number() OVER (PARTITION BY series_id ORDER BY month) AS t FROM {series}
+        """,
+        f"{prefix}_begin": f"""
+            SELECT series_id, n, slope, first - slope * 6.5 AS start,
+                [ys[i] - (first - slope * 6.5 + slope * i) FOR i IN range(1, 13)] AS season
+            FROM (SELECT series_id, count(*) AS n, list(y ORDER BY t) AS ys,
+                      avg(y) FILTER (t <= 12) AS first,
+                      (avg(y) FILTER (t > 12 AND t <= 24) - avg(y) FILTER (t <= 12)) / 12 AS slope
+                  FROM {prefix}_rows GROUP BY series_id)
+        """,
+    }
+    best = "SELECT series_id, 0.5::DOUBLE AS alpha, 0.5::DOUBLE AS beta, 0.5::DOUBLE AS gamma FROM " + f"{prefix}_begin"
+    for turn, (count, half) in enumerate(((7, 0.5), (5, 0.125), (5, 0.03125))):
+        views[f"{prefix}_grid{turn}"] = f"""
+            SELECT b.*, a.alpha, e.beta, g.gamma
+            FROM ({best}) c JOIN {prefix}_begin b ON b.series_id = c.series_id,
+                LATERAL {axis('alpha', count, half)} a, LATERAL {axis('beta', count, half)} e,
+                LATERAL {axis('gamma', count, half)} g
+        """
+        views[f"{prefix}_walk{turn}"] = f"""
+            SELECT series_id, n, alpha, beta, gamma, start, slope, 0::BIGINT AS t,
+                start AS level, slope AS trend, season, 0.0::DOUBLE AS squares, 0.0::DOUBLE AS errors
+            FROM {prefix}_grid{turn}
+            UNION ALL
+            SELECT series_id, n, alpha, beta, gamma, start, slope, t, raised,
+                beta * (raised - level) + (1 - beta) * trend,
+                list_append(season[2:12], gamma * (y - expected) + (1 - gamma) * season[1]),
+                squares + error * error, errors + error
+            FROM (SELECT w.* EXCLUDE (t), w.t + 1 AS t, r.y, w.level + w.trend AS expected,
+                      r.y - (w.level + w.trend) - w.season[1] AS error,
+                      w.alpha * (r.y - w.season[1]) + (1 - w.alpha) * (w.level + w.trend) AS raised
+                  FROM {prefix}_walk{turn} w
+                  JOIN {prefix}_rows r ON r.series_id = w.series_id AND r.t = w.t + 1)
+        """
+        views[f"{prefix}_best{turn}"] = f"""
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id
+                ORDER BY squares, alpha, beta, gamma) AS place
+                FROM {prefix}_walk{turn} WHERE t = n) WHERE place = 1
+        """
+        best = f"SELECT series_id, alpha, beta, gamma FROM {prefix}_best{turn}"
+    views[f"{prefix}_fit"] = f"""
+        SELECT *, sqrt((squares - errors * errors / n) / (n - 1)) AS spread FROM {prefix}_best2
+    """
+    views[f"{prefix}_sql"] = f"""
+        SELECT series_id, cast(last_month + to_months(step) AS date) AS forecast_month,
+            'ets' AS model_name, greatest(future, 0.0) AS yhat,
+            future - 1.96 * spread AS yhat_lower, future + 1.96 * spread AS yhat_upper
+        FROM (SELECT f.series_id, step, spread, last_month,
+                  level + step * trend + season[(step - 1) % 12 + 1] AS future
+              FROM {prefix}_fit f JOIN (SELECT series_id, max(month) AS last_month
+                  FROM {series} GROUP BY series_id) m ON m.series_id = f.series_id, steps)
+    """
+    return views
+
+
 VIEWS = {
     "sales_lines": """
         SELECT
@@ -223,6 +293,9 @@ VIEWS = {
                 FROM series_sql) WHERE back <= 3 GROUP BY series_id
         ), steps
     """,
+    **smoothing_views("series_sql", "ets"),
+    **smoothing_views("train_sql", "ets_train"),
+    "models_sql": "SELECT * FROM baseline_sql UNION ALL SELECT * FROM ets_sql",
     "holdout_sql": """
         SELECT t.series_id, p.model_name, t.month, t.y, p.yhat
         FROM test_sql t JOIN (
@@ -233,6 +306,10 @@ VIEWS = {
                 SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY month DESC) AS back
                 FROM train_sql) WHERE back <= 3 GROUP BY series_id
         ) p ON p.series_id = t.series_id
+        UNION ALL
+        SELECT t.series_id, e.model_name, t.month, t.y, e.yhat
+        FROM test_sql t JOIN ets_train_sql e
+            ON e.series_id = t.series_id AND e.forecast_month = t.month
     """,
     "errors_sql": """
         SELECT series_id, model_name,
@@ -247,9 +324,9 @@ VIEWS = {
     """,
     "forecast_sql": """
         SELECT b.series_id, forecast_month, model_name,
-            round(yhat, 2) AS yhat, yhat_lower, yhat_upper,
-            model_name = winning_model AS is_winner
-        FROM baseline_sql b JOIN winner_sql w ON w.series_id = b.series_id
+            round(yhat, 2) AS yhat, round(yhat_lower, 2) AS yhat_lower,
+            round(yhat_upper, 2) AS yhat_upper, model_name = winning_model AS is_winner
+        FROM models_sql b JOIN winner_sql w ON w.series_id = b.series_id
     """,
     "live": """
         SELECT cast(event_id AS varchar) AS event_id, ts AS event_time,
