@@ -110,12 +110,65 @@ def customer_segments(
 
     KMeans reads its input many times, so the scored customers are stored first.
     """
-    rfm = stored(customer_rfm(lines, as_of), "rfm")
+    return clustered_segments(stored(customer_rfm(lines, as_of), "rfm"), k, seed)
+
+
+def clustered_segments(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
+    """A written table of scored customers plus the cluster of each."""
     columns = [c for c in rfm.columns if c != "cluster_label"]
     clustered = assign_clusters(fit_kmeans(rfm, k, seed), rfm)
     return clustered.select(*columns, "cluster_id", "cluster_label")
 
 
+def cluster_centres(clustered: DataFrame) -> DataFrame:
+    """``cluster_id``, ``customers``, and the mean of each scaled feature, as a table.
+
+    Features are scaled as the model scales them: less the mean, by the sample
+    deviation over all customers; a feature that never varies is 0.
+    """
+    scaled = scaled_features(clustered)
+    return scaled.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("customers"), *(F.avg(f"z_{c}").alias(f"c_{c}") for c in FEATURES)
+    )
+
+
+def scaled_features(clustered: DataFrame) -> DataFrame:
+    """``clustered`` with a ``z_`` column for each feature."""
+    known = clustered.agg(
+        *(F.avg(c).alias(f"mean_{c}") for c in FEATURES), *(F.stddev_samp(c).alias(f"sd_{c}") for c in FEATURES)
+    )
+    both = clustered.crossJoin(F.broadcast(known))  # one row
+    z = {
+        f"z_{c}": F.when(F.col(f"sd_{c}") > 0, (F.col(c) - F.col(f"mean_{c}")) / F.col(f"sd_{c}")).otherwise(0.0)
+        for c in FEATURES
+    }
+    return both.withColumns(z).select(*clustered.columns, *z)
+
+
+def nearest_centre(clustered: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """A certificate of the clusters: per customer, whether no other centre is nearer than its own.
+
+    The centres are the means of their own members, so if every customer is
+    nearest to its own, no step of the algorithm can move anything. k rows of
+    centres are broadcast. Ties and rounding are within ``tolerance`` of the
+    squared distance.
+    """
+    scaled = scaled_features(clustered)
+    centres = cluster_centres(clustered)
+    packed = F.broadcast(centres.agg(F.collect_list(F.struct("cluster_id", *(f"c_{c}" for c in FEATURES))).alias("centres")))
+
+    def distance(centre: Column) -> Column:
+        parts = [(F.col(f"z_{c}") - centre[f"c_{c}"]) * (F.col(f"z_{c}") - centre[f"c_{c}"]) for c in FEATURES]
+        return sum(parts[1:], parts[0])
+
+    own = F.filter("centres", lambda c: c["cluster_id"] == F.col("cluster_id"))[0]
+    nearest = F.array_min(F.transform("centres", distance))
+    return scaled.crossJoin(packed).select(
+        *clustered.columns, distance(own).alias("own_distance"), nearest.alias("nearest_distance"),
+        (distance(own) <= nearest + tolerance).alias("is_nearest"),
+    )
+
+
 def segment_summary(segments: DataFrame) -> DataFrame:
     """Size and averages of each segment."""
     return segments.groupBy("cluster_label").agg(

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymill.operators import customers, forecasting, marts, quality, sales, star
+from tallymill.sources import serving
+from tallymill.sources.publish import CATALOG
 from tallymill.sources.tables import ingest_bronze, read_table, write_table
 
+PUBLISHED = (
+    *CATALOG, "mart_executive_kpis", "mart_customer_intelligence", "mart_forecast_performance",
+)
+
 
 def build_star(spark: SparkSession, bronze: DataFrame, root: str) -> dict[str, DataFrame]:
     """Write the dimensions and the fact under ``root`` and return the tables."""
@@ -67,6 +75,44 @@ def build_warehouse(
     return {"bronze": bronze, **tables}
 
 
+def build_models(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    models: Mapping[str, forecasting.Model] = forecasting.MODELS,
+) -> dict[str, DataFrame]:
+    """Clusters of the customers, forecasts of every category, and their mart, from built tables."""
+    path = f"{root}/gold/customer_segments"
+    write_table(customers.clustered_segments(tables["customer_rfm"]), path)
+    by_product = star.star_lines(
+        tables["fact_sales"], calendar=tables["dim_date"], products=tables["dim_product"]
+    )
+    forecasts = build_forecasts(spark, by_product, f"{root}/gold", F.col("category"), models)
+    return {"customer_segments": read_table(spark, path), **forecasts}
+
+
+def run_batch(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    computed_at: dt.datetime,
+    top_n: int = 100,
+    models: Mapping[str, forecasting.Model] = forecasting.MODELS,
+) -> dict[str, DataFrame]:
+    """The whole run: warehouse, models, checks, then a new served version of the gold tables.
+
+    A failed check stops the run before anything is switched, so readers keep
+    the version before. Returns the built tables; the published ones as served.
+    """
+    built = build_warehouse(spark, raw, root, top_n)
+    failed = verify_warehouse(built).filter("NOT passed").select("check_name", "table_name").collect()
+    if failed:
+        raise RuntimeError(f"not published: {[tuple(r) for r in failed]}")
+    built |= build_models(spark, built, root, models)
+    serving.publish_version({name: built[name] for name in PUBLISHED}, f"{root}/serving", computed_at)
+    return built | serving.served_tables(spark, f"{root}/serving")
+
+
 def verify_warehouse(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Parity, uniqueness and key checks over a built warehouse."""
     bronze, fact = tables["bronze"], tables["fact_sales"]

@@ -63,14 +63,15 @@ query("fn_concat_score", "SELECT customer_id, rfm_score FROM segments")(
     lambda s: rfm(s).select("customer_id", "rfm_score"))
 query("segment_summary", "SELECT * FROM segment_stats")(
     lambda s: customers.segment_summary(rfm(s)))
-query("mart_customer_intelligence", """
+INTELLIGENCE_SQL = """
     SELECT *,
         round(100.0 * (cast(customers AS double) / (SELECT count(*) FROM segments)), 2)
             AS pct_of_customers,
         round(100.0 * (total_monetary / nullif((SELECT cast(sum(cast(monetary AS decimal(18,2)))
             AS double) FROM segments), 0)), 2) AS pct_of_revenue
     FROM segment_stats
-""")(lambda s: customers.customer_intelligence(rfm(s)))
+"""
+query("mart_customer_intelligence", INTELLIGENCE_SQL)(lambda s: customers.customer_intelligence(rfm(s)))
 
 
 @query("share_of_total", """
@@ -88,21 +89,44 @@ def share_of_total(s: Source) -> DataFrame:
     )
 
 
-@query("fit_kmeans")
+CERTIFIED = "true AS is_nearest, 5::BIGINT AS clusters, true AS sizes_agree"
+
+
+def certified(clustered: DataFrame) -> DataFrame:
+    """Customers with the proof of their cluster: nearest to its centre, and five centres with all customers.
+
+    The number of a cluster is the model's choice; that no customer is nearer
+    to another centre, and that each centre is the mean of its own, is not.
+    """
+    clustered = stored(clustered, "clustered")
+    centres = customers.cluster_centres(clustered).agg(
+        F.count(F.lit(1)).alias("clusters"), F.sum("customers").alias("_in_clusters")
+    )
+    all_rows = clustered.agg(F.count(F.lit(1)).alias("_rows"))
+    facts = centres.crossJoin(all_rows).select(
+        "clusters", (F.col("_in_clusters") == F.col("_rows")).alias("sizes_agree")
+    )
+    proven = customers.nearest_centre(clustered).drop("own_distance", "nearest_distance", "cluster_id")
+    return proven.crossJoin(F.broadcast(facts))  # one row
+
+
+@query("fit_kmeans", f"SELECT *, {CERTIFIED} FROM rfm")
 def fit_kmeans(s: Source) -> DataFrame:
-    """Customers with their cluster."""
+    """Customers, each with the certificate of its cluster."""
     base = stored(customers.rfm_base(lines(s)), "rfm")
-    return customers.assign_clusters(customers.fit_kmeans(base), base)
+    return certified(customers.assign_clusters(customers.fit_kmeans(base), base))
 
 
-query("customer_segments")(lambda s: customers.customer_segments(lines(s)))
+query("customer_segments", f"SELECT *, {CERTIFIED} FROM segments")(
+    lambda s: certified(customers.customer_segments(lines(s))))
 query("stg_customer_segments", """
     SELECT cast(customer_id AS varchar) AS customer_id, customer_name, segment, recency_days,
-        frequency, monetary, r_score, f_score, m_score, rfm_score,
-        cast(0 AS int) AS cluster_id, cluster_label
+        frequency, monetary, r_score, f_score, m_score, rfm_score, cluster_label,
+        true AS has_cluster
     FROM segments
 """)(lambda s: doubles(
-    marts.stage(rfm(s).withColumn("cluster_id", F.lit(0)), "customer_segments"), "monetary"))
+    marts.stage(customers.customer_segments(lines(s)), "customer_segments"), "monetary"
+).withColumn("has_cluster", F.col("cluster_id").between(0, 4)).drop("cluster_id"))
 
 
 @query("persist_model", "SELECT count(*) AS customers, cast(0 AS bigint) AS moved FROM rfm")

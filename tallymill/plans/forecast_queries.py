@@ -114,7 +114,7 @@ query("stg_sales_forecast", """
     SELECT forecast_month, model_name, yhat, yhat_lower, yhat_upper, is_winner FROM forecast_sql
 """)(lambda s: marts.stage(forecast(s), "sales_forecast")
      .withColumn("yhat", F.col("yhat").cast("double")))
-query("mart_forecast_performance", """
+PERFORMANCE_SQL = """
     SELECT series_id, forecast_month, model_name AS winning_model,
         cast(y AS double) AS forecast_revenue,
         cast(round(lo, 2) AS double) AS yhat_lower, cast(round(hi, 2) AS double) AS yhat_upper,
@@ -124,7 +124,8 @@ query("mart_forecast_performance", """
               coalesce(cast(yhat_lower AS decimal(18,2)), cast(yhat AS decimal(18,2)) * 0.85) AS lo,
               coalesce(cast(yhat_upper AS decimal(18,2)), cast(yhat AS decimal(18,2)) * 1.15) AS hi
           FROM forecast_sql WHERE is_winner)
-""")(lambda s: marts.forecast_performance(forecast(s), "series_id"))
+"""
+query("mart_forecast_performance", PERFORMANCE_SQL)(lambda s: marts.forecast_performance(forecast(s), "series_id"))
 query("forecast_vs_actual", """
     SELECT series_id, month, 'actual' AS series, y FROM series_sql
     UNION ALL

@@ -137,7 +137,7 @@ query("lag_yoy", """
           FROM months GROUP BY year)
 """)(lambda s: kpis.year_over_year(monthly(s)))
 
-query("mart_executive_kpis", """
+EXECUTIVE_SQL = """
     SELECT *, lag(year_revenue) OVER (ORDER BY year) AS prev_year_revenue,
         round(100.0 * ((year_revenue - lag(year_revenue) OVER (ORDER BY year))
             / nullif(lag(year_revenue) OVER (ORDER BY year), 0)), 2) AS yoy_growth_pct
@@ -150,7 +150,8 @@ query("mart_executive_kpis", """
         FROM (SELECT year, sum(cast(revenue AS decimal(18,2))) AS r,
                   sum(cast(profit AS decimal(18,2))) AS p, count(*) AS months_reported
               FROM months GROUP BY year))
-""")(lambda s: marts.executive_kpis(monthly(s)))
+"""
+query("mart_executive_kpis", EXECUTIVE_SQL)(lambda s: marts.executive_kpis(monthly(s)))
 
 query("stg_monthly_revenue", "SELECT * FROM months")(
     lambda s: doubles(marts.stage(monthly(s), "monthly_revenue"),

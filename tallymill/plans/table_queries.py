@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.operators import customers, sales, star
 from tallymill.plans import customer_queries, forecast_queries, sales_queries
-from tallymill.plans.batch import build_warehouse, verify_warehouse
+from tallymill.plans.batch import build_warehouse, run_batch, verify_warehouse
 from tallymill.plans.registry import Source, query
 from tallymill.session import stored
-from tallymill.sources import publish, tables
+from tallymill.sources import publish, serving, tables
 
 # an order line with localised, untidy headers
 HEADERS = {
@@ -155,15 +157,53 @@ def read_sql(s: Source) -> DataFrame:
     )
 
 
-@query("publish_catalog", """
-    SELECT 'monthly_revenue' AS table_name, count(*) AS rows FROM months
-    UNION ALL SELECT 'revenue_by_category', count(*) FROM categories
-    UNION ALL SELECT 'revenue_by_region', count(*) FROM places
-    UNION ALL SELECT 'top_products', least(100, count(*)) FROM products
-    UNION ALL SELECT 'customer_rfm', count(*) FROM rfm
-    UNION ALL SELECT 'customer_segments', count(*) FROM rfm
-    UNION ALL SELECT 'sales_forecast', count(*) FROM forecast_sql
-""")
+# what each digest is taken over; the cluster of a customer is the model's choice
+CONTENTS = {
+    "monthly_revenue": "year month month_name revenue profit orders avg_line_value",
+    "revenue_by_category": "category sub_category revenue profit units",
+    "revenue_by_region": "region state revenue profit",
+    "top_products": "product_id product_name category revenue profit units",
+    "customer_rfm": "customer_id customer_name segment recency_days frequency monetary"
+                    " r_score f_score m_score rfm_score cluster_label",
+    "customer_segments": "customer_id customer_name segment recency_days frequency monetary"
+                         " r_score f_score m_score rfm_score cluster_label",
+    "sales_forecast": "series_id forecast_month model_name yhat yhat_lower yhat_upper is_winner",
+    "mart_executive_kpis": "year year_revenue year_profit profit_margin_pct revenue_to_profit"
+                           " months_reported prev_year_revenue yoy_growth_pct",
+    "mart_customer_intelligence": "cluster_label customers avg_recency_days avg_frequency avg_monetary"
+                                  " total_monetary pct_of_customers pct_of_revenue",
+    "mart_forecast_performance": "series_id forecast_month winning_model forecast_revenue yhat_lower"
+                                 " yhat_upper lower_uncertainty upper_uncertainty",
+    "bronze": " ".join(tables.LINE_TYPES),
+    "dim_customer": "customer_key customer_id customer_name segment",
+    "dim_product": "product_key product_id product_name category sub_category",
+    "dim_region": "region_key country region state city postal_code",
+    "dim_ship_mode": "ship_mode_key ship_mode",
+    "dim_date": "date_key full_date year quarter month month_name week day_of_week day_name is_weekend",
+    "fact_sales": "order_id row_id customer_key product_key region_key ship_mode_key order_date_key"
+                  " ship_date_key sales quantity discount profit order_year",
+}
+COLUMNS = {name: columns.split() for name, columns in CONTENTS.items()}
+# the SQL of each table, as the query of the table itself has it
+TABLE_SQL = {
+    **{name: f"SELECT * FROM {name}_sql" for name in (
+        "dim_customer", "dim_product", "dim_region", "dim_ship_mode", "dim_date")},
+    "bronze": "SELECT * FROM sales_lines", "fact_sales": "SELECT * FROM fact_sql",
+    "monthly_revenue": "SELECT * FROM months", "revenue_by_category": "SELECT * FROM categories",
+    "revenue_by_region": "SELECT * FROM places", "top_products": sales_queries.TOP.format(100),
+    "customer_rfm": "SELECT * FROM segments", "customer_segments": "SELECT * FROM segments",
+    "sales_forecast": "SELECT * FROM forecast_sql",
+    "mart_executive_kpis": sales_queries.EXECUTIVE_SQL,
+    "mart_customer_intelligence": customer_queries.INTELLIGENCE_SQL,
+    "mart_forecast_performance": forecast_queries.PERFORMANCE_SQL,
+}
+
+
+def contents_sql(*names: str) -> str:
+    return " UNION ALL ".join(serving.contents_sql(n, TABLE_SQL[n], COLUMNS[n]) for n in names)
+
+
+@query("publish_catalog", contents_sql(*publish.CATALOG))
 def publish_catalog(s: Source) -> DataFrame:
     root = s.scratch("published")
     names = publish.publish_catalog(
@@ -178,7 +218,7 @@ def publish_catalog(s: Source) -> DataFrame:
         },
         publish.file_sink(root),
     )
-    return publish.published_counts(s.spark, root, names)
+    return serving.contents_of({n: tables.read_table(s.spark, f"{root}/{n}") for n in names}, COLUMNS)
 
 
 @query("sort_for_publish", "SELECT * FROM segments ORDER BY monetary, customer_id")
@@ -211,26 +251,20 @@ def load_dataframe(s: Source) -> DataFrame:
     return tables.read_table(s.spark, path)
 
 
-@query("batch_build", """
-    SELECT 'bronze' AS table_name, count(*) AS rows FROM sales_lines
-    UNION ALL SELECT 'dim_customer', count(*) FROM dim_customer_sql
-    UNION ALL SELECT 'dim_product', count(*) FROM dim_product_sql
-    UNION ALL SELECT 'dim_region', count(*) FROM dim_region_sql
-    UNION ALL SELECT 'dim_ship_mode', count(*) FROM dim_ship_mode_sql
-    UNION ALL SELECT 'dim_date', count(*) FROM dim_date_sql
-    UNION ALL SELECT 'fact_sales', count(*) FROM fact_sql
-    UNION ALL SELECT 'monthly_revenue', count(*) FROM months
-    UNION ALL SELECT 'revenue_by_category', count(*) FROM categories
-    UNION ALL SELECT 'revenue_by_region', count(*) FROM places
-    UNION ALL SELECT 'top_products', least(100, count(*)) FROM products
-    UNION ALL SELECT 'customer_rfm', count(*) FROM rfm
-    UNION ALL SELECT 'mart_executive_kpis', count(DISTINCT year) FROM months
-    UNION ALL SELECT 'mart_customer_intelligence', count(*) FROM segment_stats
-""")
+#: When the registered run says that its tables were computed.
+COMPUTED_AT = dt.datetime(2024, 1, 31, 23, 30)
+
+
+@query("batch_build", contents_sql(*COLUMNS))
 def batch_build(s: Source) -> DataFrame:
-    """The whole batch path; one row per table with its rows."""
-    built = build_warehouse(s.spark, _raw_files(s), s.scratch("warehouse"))
-    return tables.row_counts(built)
+    """The whole run, models and publishing too; per table, its rows and a digest of them.
+
+    The gold tables are read as served. The models are those that SQL can fit again.
+    """
+    built = run_batch(
+        s.spark, _raw_files(s), s.scratch("warehouse"), COMPUTED_AT, models=forecast_queries.CHECKED
+    )
+    return serving.contents_of({n: built[n] for n in COLUMNS}, COLUMNS)
 
 
 @query("batch_verify", """
