@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import age_seconds
@@ -43,18 +43,29 @@ def segment_size_metrics(segments: DataFrame) -> DataFrame:
     return _metric(sizes, "segment_size", F.col("cluster_label"), F.col("n"))
 
 
+def manifest_metrics(manifest: DataFrame, as_of: Column, dated: str = "sales_forecast") -> DataFrame:
+    """Row counts of the served tables, and the age of one, as publishing recorded them."""
+    age = age_seconds(as_of, F.date_trunc("second", "computed_at"))
+    return union_rows([
+        _metric(manifest, "table_rows", F.col("table_name"), F.col("rows")),
+        _metric(manifest.filter(F.col("table_name") == dated), "freshness_seconds", F.lit(""), age),
+    ])
+
+
 def health_metrics(
     tables: Mapping[str, DataFrame],
-    refreshed: DataFrame,
-    moment: str,
+    manifest: DataFrame,
     as_of: Column,
     comparison: DataFrame,
     segments: DataFrame,
 ) -> DataFrame:
-    """Row counts, freshness, winner error and segment sizes as (metric, label, value)."""
+    """Row counts, freshness, winner error and segment sizes as (metric, label, value).
+
+    The served tables are counted by their manifest; ``tables`` are further ones to count.
+    """
     return union_rows([
         row_count_metrics(tables),
-        freshness_metric(refreshed, moment, as_of),
+        manifest_metrics(manifest, as_of),
         winner_mape_metric(comparison),
         segment_size_metrics(segments),
     ])
@@ -62,7 +73,7 @@ def health_metrics(
 
 @dataclass(frozen=True)
 class Alert:
-    """Fires when the last value, or its change in a window, passes the limit."""
+    """Fires when the value, or its change in a window, has passed the limit for ``hold_seconds``."""
 
     name: str
     severity: str
@@ -70,13 +81,14 @@ class Alert:
     above: float | None = None
     change_below: float | None = None
     window_seconds: int = 3600
+    hold_seconds: int = 0
 
 
-# The alert limits.
+# The alert limits and hold times.
 ALERTS = (
-    Alert("data_stale", "warning", "freshness_seconds", above=90_000),
-    Alert("rows_dropping", "critical", "table_rows", change_below=-1_000),
-    Alert("forecast_error_high", "warning", "winner_mape", above=50),
+    Alert("data_stale", "warning", "freshness_seconds", above=90_000, hold_seconds=300),
+    Alert("rows_dropping", "critical", "table_rows", change_below=-1_000, hold_seconds=600),
+    Alert("forecast_error_high", "warning", "winner_mape", above=50, hold_seconds=1_800),
 )
 
 
@@ -108,3 +120,53 @@ def health_alerts(history: DataFrame, alerts: tuple[Alert, ...] = ALERTS) -> Dat
             *series, "last_value", F.round("change", 4).alias("change"), firing.alias("firing"),
         ))
     return union_rows(judged)
+
+
+def alert_episodes(history: DataFrame, alerts: tuple[Alert, ...] = ALERTS) -> DataFrame:
+    """Every stretch of observations over an alert's limit, with the state it came to.
+
+    ``history`` holds (metric, label, observed_at, value), one row per series and
+    moment. A stretch is pending from ``started_at`` and firing from the first
+    observation at least the hold time later (``firing_at``); the first
+    observation back within the limit ends it (``ended_at``). States: pending,
+    firing, resolved (fired, then ended), lapsed (ended before it fired). NULL
+    values are no observations. A series is sorted within its own partition.
+    """
+    series = ["metric", "label"]
+    in_time = Window.partitionBy(*series).orderBy("_at")
+    seen = history.filter(F.col("value").isNotNull()).withColumn("_at", F.unix_micros("observed_at"))
+    found = []
+    for alert in alerts:
+        own = seen.filter(F.col("metric") == alert.metric)
+        before = F.first("value").over(in_time.rangeBetween(-alert.window_seconds * 1_000_000, 0))
+        over = (F.col("value") > alert.above if alert.above is not None
+                else F.col("value") - before < alert.change_below)
+        marked = own.withColumn("_over", over).withColumns({
+            "_next": F.lead("observed_at").over(in_time),
+            "_begins": (F.col("_over") & ~F.coalesce(F.lag("_over").over(in_time), F.lit(False))).cast("int"),
+        }).withColumn("_stretch", F.sum("_begins").over(in_time)).filter("_over")
+        held = F.col("_at") >= F.min("_at").over(Window.partitionBy(*series, "_stretch")) + alert.hold_seconds * 1_000_000
+        stretches = marked.withColumn("_held", held).groupBy(*series, "_stretch").agg(
+            F.min("observed_at").alias("started_at"),
+            F.min(F.when(F.col("_held"), F.col("observed_at"))).alias("firing_at"),
+            F.max_by("_next", "_at").alias("ended_at"),
+            F.max_by("value", "_at").alias("last_value"),
+        )
+        open_state = F.when(F.col("firing_at").isNull(), "pending").otherwise("firing")
+        closed_state = F.when(F.col("firing_at").isNull(), "lapsed").otherwise("resolved")
+        found.append(stretches.select(
+            F.lit(alert.name).alias("alert"), F.lit(alert.severity).alias("severity"), *series,
+            "started_at", "firing_at", "ended_at", "last_value",
+            F.when(F.col("ended_at").isNull(), open_state).otherwise(closed_state).alias("state"),
+        ))
+    return union_rows(found)
+
+
+def alert_states(episodes: DataFrame, as_of: Column) -> DataFrame:
+    """What each alert says at a moment: the stretches begun by then and not yet over."""
+    begun = episodes.filter((F.col("started_at") <= as_of) & (F.col("ended_at").isNull() | (F.col("ended_at") > as_of)))
+    firing = F.col("firing_at").isNotNull() & (F.col("firing_at") <= as_of)
+    return begun.select(
+        "alert", "severity", "metric", "label", "started_at",
+        F.when(firing, "firing").otherwise("pending").alias("state"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.expressions import SEGMENTS, age_seconds
@@ -12,6 +12,7 @@ from tallymill.functions.unions import union_rows
 from tallymill.operators import customers, health, marts, quality, sales
 from tallymill.plans import customer_queries, forecast_queries, sales_queries, star_queries
 from tallymill.plans.registry import ORACLES, Source, query
+from tallymill.sources import serving
 
 
 def finding(check: str, table: str, column: str, failures: str, source: str) -> str:
@@ -193,66 +194,138 @@ query("dq_segment_ordering", finding(
 ))(lambda s: quality.segment_ordering(customer_queries.rfm(s), "customer_rfm"))
 
 
+PUBLISHED_AT, AS_OF = dt.datetime(2024, 1, 31, 23, 30), dt.datetime(2024, 2, 1)
+
+
 @query("health_metrics", """
     SELECT 'table_rows' AS metric, 'fact_sales' AS label, cast(count(*) AS double) AS value
     FROM sales_lines
     UNION ALL SELECT 'table_rows', 'monthly_revenue', count(*) FROM months
+    UNION ALL SELECT 'table_rows', 'customer_segments', count(*) FROM segments
+    UNION ALL SELECT 'table_rows', 'sales_forecast', count(*) FROM forecast_sql
     UNION ALL SELECT 'freshness_seconds', '',
-        date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') FROM events
+        date_diff('second', TIMESTAMP '2024-01-31 23:30:00', TIMESTAMP '2024-02-01 00:00:00')
     UNION ALL SELECT 'winner_mape', series_id, round(min(mape), 4) FROM errors_sql GROUP BY series_id
     UNION ALL SELECT 'segment_size', cluster_label, count(*) FROM segments GROUP BY cluster_label
 """)
 def health_metrics(s: Source) -> DataFrame:
-    metrics = health.health_metrics(
+    """The lines, and three tables as a published version's manifest has them."""
+    root = s.scratch("serving")
+    version = serving.publish_version(
         {
-            "fact_sales": s.lines("sales"),
             "monthly_revenue": sales_queries.monthly(s),
+            "customer_segments": customers.customer_segments(customer_queries.lines(s)),
+            "sales_forecast": forecast_queries.forecast(s),
         },
-        s.table("events").withColumn("ts", F.date_trunc("second", "ts")), "ts",
-        F.lit(dt.datetime(2024, 2, 1)),
+        root, PUBLISHED_AT,
+    )
+    metrics = health.health_metrics(
+        {"fact_sales": s.lines("sales")},
+        serving.read_manifest(s.spark, root, version), F.lit(AS_OF),
         forecast_queries.comparison(s),
-        customer_queries.rfm(s),
+        serving.served_tables(s.spark, root)["customer_segments"],
     )
     return metrics.withColumn("value", F.round("value", 4))
 
 
-@query("health_alerts", """
-    WITH history AS (
-        SELECT 'table_rows' AS metric, event_type AS label, date_trunc('hour', ts) AS observed_at,
-            cast(count(*) AS double) AS value FROM events GROUP BY 1, 2, 3
-        UNION ALL
-        SELECT 'freshness_seconds', event_type, date_trunc('hour', ts),
-            cast(date_diff('second', date_trunc('hour', ts), TIMESTAMP '2024-01-31 12:00:00')
-                AS double)
-        FROM events GROUP BY 2, 3
-    ),
+# hourly: a thousand rows per event and type, their age, and a type's share of the hour
+HISTORY_SQL = """
+    SELECT 'table_rows' AS metric, event_type AS label, date_trunc('hour', ts) AS observed_at,
+        1000 * cast(count(*) AS double) AS value FROM events GROUP BY 1, 2, 3
+    UNION ALL
+    SELECT 'freshness_seconds', event_type, date_trunc('hour', ts),
+        cast(date_diff('second', date_trunc('hour', ts), TIMESTAMP '2024-01-31 12:00:00') AS double)
+    FROM events GROUP BY 2, 3
+    UNION ALL
+    SELECT 'winner_mape', event_type, observed_at,
+        100.0 * cast(n AS double) / cast(sum(n) OVER (PARTITION BY observed_at) AS double)
+    FROM (SELECT event_type, date_trunc('hour', ts) AS observed_at, count(*) AS n FROM events GROUP BY 1, 2)
+"""
+
+
+def history(s: Source) -> DataFrame:
+    """An hourly history of all three watched metrics, from the events."""
+    hour = F.date_trunc("hour", "ts").alias("observed_at")
+    hourly = s.table("events").groupBy(F.col("event_type").alias("label"), hour).agg(
+        F.count(F.lit(1)).cast("double").alias("value")
+    )
+    share = F.lit(100.0) * F.col("value") / F.sum("value").over(Window.partitionBy("observed_at"))
+    age = age_seconds(F.lit(dt.datetime(2024, 1, 31, 12)), F.col("observed_at")).cast("double")
+    of = lambda metric, value: hourly.select(
+        F.lit(metric).alias("metric"), "label", "observed_at", value.alias("value"))
+    return union_rows([
+        of("table_rows", 1000 * F.col("value")), of("freshness_seconds", age), of("winner_mape", share)
+    ])
+
+
+@query("health_alerts", f"""
+    WITH history AS ({HISTORY_SQL}),
     ends AS (SELECT metric, label, max(observed_at) AS last_at,
         arg_max(value, observed_at) AS last_value FROM history GROUP BY metric, label),
     state AS (SELECT h.metric, h.label, last_value,
             last_value - arg_min(value, observed_at) AS change
         FROM history h JOIN ends e ON h.metric = e.metric AND h.label = e.label
         WHERE observed_at >= last_at - INTERVAL 1 HOUR GROUP BY h.metric, h.label, last_value)
-    SELECT 'data_stale' AS alert, 'warning' AS severity, metric, label, last_value,
+    SELECT 'data_stale' AS alert, 'warning' AS severity, metric, label, round(last_value, 4) AS last_value,
         round(change, 4) AS change, last_value > 90000 AS firing
     FROM state WHERE metric = 'freshness_seconds'
     UNION ALL
-    SELECT 'rows_dropping', 'critical', metric, label, last_value, round(change, 4),
+    SELECT 'rows_dropping', 'critical', metric, label, round(last_value, 4), round(change, 4),
         change < -1000
     FROM state WHERE metric = 'table_rows'
+    UNION ALL
+    SELECT 'forecast_error_high', 'warning', metric, label, round(last_value, 4), round(change, 4),
+        last_value > 50
+    FROM state WHERE metric = 'winner_mape'
 """)
 def health_alerts(s: Source) -> DataFrame:
-    """Alerts over an hourly history: events per type, and their age."""
-    hour = F.date_trunc("hour", "ts").alias("observed_at")
-    hourly = s.table("events").groupBy(F.col("event_type").alias("label"), hour).agg(
-        F.count(F.lit(1)).cast("double").alias("value")
-    )
-    rows = hourly.select(F.lit("table_rows").alias("metric"), "label", "observed_at", "value")
-    ages = hourly.select(
-        F.lit("freshness_seconds").alias("metric"), "label", "observed_at",
-        age_seconds(F.lit(dt.datetime(2024, 1, 31, 12)), F.col("observed_at"))
-        .cast("double").alias("value"),
-    )
-    return health.health_alerts(union_rows([rows, ages]))
+    """Whether each rule's limit is passed at the end of each series."""
+    return health.health_alerts(history(s)).withColumn("last_value", F.round("last_value", 4))
+
+
+EPISODES_SQL = f"""
+    WITH history AS ({HISTORY_SQL}),
+    rules AS (SELECT * FROM (VALUES
+        ('data_stale', 'warning', 'freshness_seconds', 90000.0, NULL, 300),
+        ('rows_dropping', 'critical', 'table_rows', NULL, -1000.0, 600),
+        ('forecast_error_high', 'warning', 'winner_mape', 50.0, NULL, 1800))
+        AS t(alert, severity, metric, above, below, hold)),
+    judged AS (SELECT alert, severity, h.metric, label, observed_at, value, hold,
+            coalesce(value > above, value - first_value(value) OVER (PARTITION BY h.metric, label
+                ORDER BY observed_at RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) < below) AS is_over
+        FROM history h JOIN rules r ON r.metric = h.metric),
+    marked AS (SELECT *, lead(observed_at) OVER w AS next_at,
+            is_over AND NOT coalesce(lag(is_over) OVER w, false) AS begins
+        FROM judged WINDOW w AS (PARTITION BY metric, label ORDER BY observed_at)),
+    numbered AS (SELECT *, sum(begins::int) OVER (PARTITION BY metric, label ORDER BY observed_at) AS stretch
+        FROM marked),
+    started AS (SELECT *, min(observed_at) OVER (PARTITION BY metric, label, stretch) AS started_at
+        FROM numbered WHERE is_over),
+    stretches AS (SELECT alert, severity, metric, label, started_at,
+            min(observed_at) FILTER (date_diff('second', started_at, observed_at) >= hold) AS firing_at,
+            nullif(max(coalesce(next_at, TIMESTAMP '9999-01-01 00:00:00')), TIMESTAMP '9999-01-01 00:00:00') AS ended_at,
+            arg_max(value, observed_at) AS last_value
+        FROM started GROUP BY ALL),
+    episodes AS (SELECT *, CASE WHEN ended_at IS NULL AND firing_at IS NULL THEN 'pending'
+            WHEN ended_at IS NULL THEN 'firing' WHEN firing_at IS NULL THEN 'lapsed' ELSE 'resolved' END AS state
+        FROM stretches)
+"""
+
+
+def episodes(s: Source) -> DataFrame:
+    return health.alert_episodes(history(s)).withColumn("last_value", F.round("last_value", 4))
+
+
+query("alert_episodes", EPISODES_SQL + """
+    SELECT alert, severity, metric, label, started_at, firing_at, ended_at,
+        round(last_value, 4) AS last_value, state FROM episodes
+""")(episodes)
+query("alert_states", EPISODES_SQL + """
+    SELECT alert, severity, metric, label, started_at,
+        CASE WHEN firing_at <= TIMESTAMP '2024-01-15 12:00:00' THEN 'firing' ELSE 'pending' END AS state
+    FROM episodes WHERE started_at <= TIMESTAMP '2024-01-15 12:00:00'
+        AND (ended_at IS NULL OR ended_at > TIMESTAMP '2024-01-15 12:00:00')
+""")(lambda s: health.alert_states(episodes(s), F.lit(dt.datetime(2024, 1, 15, 12))))
 
 
 @query("fn_freshness", """

@@ -80,9 +80,6 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     columns = columns or tuple(COLUMNS)
     needed = {COLUMNS[c][0] for c in columns}
     lines = source_table(spark, folder, "lineitem")
-    if "numbering" in needed:
-        lines = _number_lines(lines)
-
     if needed & {"orders", "customer", "nation", "region"}:
         header = source_table(spark, folder, "orders")
         if needed & {"customer", "nation", "region"}:
@@ -95,6 +92,8 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
             region = source_table(spark, folder, "region")
             header = header.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         lines = lines.join(header, F.col("l_orderkey") == F.col("o_orderkey"))
+    if "numbering" in needed:  # after the join by order, so it finds the lines dealt by order already
+        lines = _number_lines(lines)
     if "part" in needed:
         part = source_table(spark, folder, "part")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -15,7 +15,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tallymill.functions.unions import union_rows
 from tallymill.sources.publish import CATALOG, sort_for_publish
@@ -106,12 +105,11 @@ def publish_version(
 
 def served_steps(spark: SparkSession, root: str) -> DataFrame:
     """Every switch so far: (version, step, served_at); empty before the first."""
-    try:
-        return spark.read.schema(SERVED).parquet(f"{root}/served")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = files.Path(f"{root}/served")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], SERVED)
+    return spark.read.schema(SERVED).parquet(f"{root}/served")
 
 
 def served_version(spark: SparkSession, root: str) -> str | None:
