@@ -98,17 +98,30 @@ def _surplus(measure: str) -> Column:
     return F.struct(F.lit(measure).alias("measure"), extra.alias("rows")).alias("m")
 
 
-def profile_numeric(df: DataFrame, *columns: str) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles per column."""
-    moments = long_form(df, columns).filter("value IS NOT NULL").groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.round(F.avg("value"), 4).alias("mean"),
-        F.round(F.stddev_samp("value"), 4).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+def weighted_moments(counts: DataFrame) -> DataFrame:
+    """Count, mean, deviation and extremes per column from stored (column_name, value, n).
+
+    The deviation is taken around the mean, in a second pass over the distinct
+    values; one value alone has none.
+    """
+    n, value = F.col("n"), F.col("value")
+    totals = counts.groupBy("column_name").agg(
+        F.sum("n").alias("rows"), (F.sum(n * value) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    # one row per profiled column
+    apart = counts.join(F.broadcast(totals), "column_name").groupBy("column_name", "rows", "mean", "min", "max").agg(
+        F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("_squares")
     )
-    quartiles = quantile_columns(value_counts(df, columns), q1=0.25, median=0.5, q3=0.75)
-    return moments.join(quartiles, "column_name")
+    std = F.sqrt(F.try_divide("_squares", F.col("rows") - 1))
+    return apart.select("column_name", "rows", "mean", std.alias("std"), "min", "max")
+
+
+def profile_numeric(df: DataFrame, *columns: str) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles per column, from one scan."""
+    counts = value_counts(df, columns)
+    moments = weighted_moments(counts).withColumns({c: F.round(c, 4) for c in ("mean", "std")})
+    return moments.join(quantile_columns(counts, q1=0.25, median=0.5, q3=0.75), "column_name")
 
 
 def negative_values(df: DataFrame, *columns: str) -> DataFrame:

@@ -205,3 +205,10 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(), "x")
+
+
+def test_numeric_profile_from_counts(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (1.0, None), (4.0, None), (None, None)], "a double, b double")
+    got = {r["column_name"]: r.asDict() for r in profiling.profile_numeric(df, "a", "b").collect()}
+    assert (got["a"]["rows"], got["a"]["mean"], got["a"]["std"], got["a"]["min"], got["a"]["max"]) == (3, 2.0, 1.7321, 1.0, 4.0)
+    assert (got["b"]["rows"], got["b"]["mean"], got["b"]["std"], got["b"]["median"]) == (1, 5.0, None, 5.0)
