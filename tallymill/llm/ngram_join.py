@@ -43,7 +43,7 @@ from tallymill.session import stored
 SHINGLE_WORDS = 5
 RANGES = 8
 PARTNERS = (2, 16)  # in the first round, and in later ones
-MOST_ROUNDS = 6
+MOST_ROUNDS = 2
 POSTING = 256
 BUCKET_SHINGLES = 1 << 20
 
