@@ -34,6 +34,14 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until ``docs`` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, work: Callable[[dict[str, list]], dict], schema: str) -> DataFrame:
     """``work`` turns the columns of a batch into the columns of ``schema``."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.llm.common import free_name
 from tallymill.session import stored
 
 #: ``freqItems`` takes no support under 1e-4.
@@ -87,11 +88,12 @@ def drop_exact_copies(
     the texts, as the built side of a hash join. Rows that repeat both id and
     text all stay: nothing tells them apart.
     """
+    key, digest = free_name(df, "_drop_id"), free_name(df, "_drop_digest")
     dropped = exact_groups(df, id_col, text_col, counters).filter("NOT kept").select(
-        F.col("doc_id").alias("_drop_id"), F.col("text_sha256").alias("_drop_digest")
+        F.col("doc_id").alias(key), F.col("text_sha256").alias(digest)
     )
-    match = F.col(f"`{id_col}`").eqNullSafe(F.col("_drop_id")) & (
-        text_digest(F.col(f"`{text_col}`")) == F.col("_drop_digest")
+    match = F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (
+        text_digest(F.col(f"`{text_col}`")) == F.col(digest)
     )
     return df.join(dropped.hint("shuffle_hash"), match, "left_anti")
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.llm.bitmaps import BITS, bitmaps_of, may_link
-from tallymill.llm.common import U64, map_batches, mixed, shingle_sets, text_rows
+from tallymill.llm.common import U64, free_name, map_batches, mixed, shingle_sets, text_rows
 from tallymill.llm.components import components
 from tallymill.session import stored
 
@@ -362,8 +362,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the smallest id of each group of near copies; all columns."""
+    key = free_name(docs, "_drop_id")
     dropped = near_groups(docs, id_col, text_col).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias("_drop_id")
+        F.col("doc_id").alias(key)
     )
-    match = F.col(f"`{id_col}`") == F.col("_drop_id")
+    match = F.col(f"`{id_col}`") == F.col(key)
     return docs.join(dropped.hint("shuffle_hash"), match, "left_anti")

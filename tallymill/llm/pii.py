@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import map_batches, row_hash, text_rows
+from tallymill.llm.common import free_name, map_batches, row_hash, text_rows
 from tallymill.llm.spans import Span, merged, regions
 from tallymill.session import stored
 
@@ -37,7 +37,7 @@ TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_|\s+")
 
 AROUND, LONGEST, MOST_TOKENS = 24, 16, 120
 SAMPLE = 250  # distinct labelled windows with an entity, and as many without
-PASSES, RATE, DECAY, LEAST_WINDOWS = 5, 0.3, 1e-3, 20
+PASSES, RATE, DECAY = 5, 0.3, 1e-3
 CONFIDENCE = 0.9
 
 
@@ -256,7 +256,7 @@ def train(table: DataFrame, size: int = SAMPLE) -> Field | None:
             (r["seen"], [(k["kind"], k["low"], k["high"]) for k in r["known"]])
             for r in part.orderBy(row_hash("seen"), "seen").limit(size).collect()
         ]
-    if sum(1 for _, spans in examples if spans) < LEAST_WINDOWS:
+    if not any(spans for _, spans in examples):
         return None
     field = Field()
     field.learn(examples)
@@ -269,8 +269,8 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Offsets are code points, ends exclusive. The field adds entities that it
     gives a probability of 0.9 or more and that touch no fixed span. NULL and
     empty texts have no spans. Rows are independent, so repeated rows repeat;
-    other columns are not read; an empty table, or one with fewer than 20
-    labelled windows, gives fixed spans only. A window longer than 120 tokens is
+    other columns are not read; an empty table, or one without a
+    single labelled window, gives fixed spans only. A window longer than 120 tokens is
     read in overlapping parts, so no text is left out.
     """
     table = stored(found(docs, id_col, text_col), "personal")
@@ -321,15 +321,17 @@ def mask_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Only ids with findings meet the texts. Rows that repeat id and text are
     masked alike; ids are otherwise unique. A row without an id stays as it is.
     """
+    key, spans = free_name(docs, "_found_id"), free_name(docs, "_spans")
     findings = find_personal(docs, id_col, text_col).filter(F.size("spans") > 0).groupBy(
-        F.col("doc_id").alias("_found_id")
-    ).agg(F.first("spans").alias("_spans"))
-    rows = docs.join(findings.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col("_found_id"), "left")
+        F.col("doc_id").alias(key)
+    ).agg(F.first("spans").alias(spans))
+    rows = docs.join(findings.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col(key), "left")
     swap = F.udf(
         lambda text, spans: masked(text, [(s["kind"], s["low"], s["high"]) for s in spans]) if spans and text else text,
         "string", useArrow=True,
     )
-    text = F.when(F.col("_spans").isNotNull(), swap(F.col(f"`{text_col}`"), F.col("_spans"))).otherwise(F.col(f"`{text_col}`"))
+    whole = F.col(f"`{text_col}`")
+    text = F.when(F.col(spans).isNotNull(), swap(whole, F.col(spans))).otherwise(whole)
     out = rows.withColumn(text_col, text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.col(f"`{text_col}`")).cast(docs.schema["n_chars"].dataType))

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import Words, map_batches, text_blocks, text_rows
+from tallymill.llm.common import Words, free_name, map_batches, text_blocks, text_rows
 from tallymill.session import stored
 
 SYMBOLS = b"#*$%&|<>"
@@ -221,6 +221,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     The verdict belongs to an id; a NULL id is judged as one document, and of
     rows that share an id all go if one of their texts is rejected.
     """
-    rejected = quality(docs, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("_reject_id"))
-    match = F.col(f"`{id_col}`").eqNullSafe(F.col("_reject_id"))
+    key = free_name(docs, "_reject_id")
+    rejected = quality(docs, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias(key))
+    match = F.col(f"`{id_col}`").eqNullSafe(F.col(key))
     return docs.join(rejected.hint("shuffle_hash"), match, "left_anti")

@@ -89,3 +89,31 @@ def test_registered_digests_equal_the_library(spark, folder):
         seen[r.doc_id] += r.length
         assert r.doc_tokens == len(own) and r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
     assert seen == {i: len(x) + 1 for i, x in ids.items()}
+
+
+def test_helpers_take_any_column_names(spark):
+    """Columns named like the helpers' own are kept, and the decisions are the same."""
+    from tallymill.llm import pii
+
+    names = ("_reject_id", "_drop_id", "_DROP_DIGEST", "_found_id", "_spans")
+    prose = "The river ran past old houses, and people stood there to see it go by every day, said one. " * 3
+    rows = [(1, f"{prose} Write to ann.b@example.org now."), (2, prose), (3, prose), (4, "# $ %"), (5, None)]
+    docs = spark.createDataFrame(
+        [(i, t, *("kept",) * len(names)) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for helper in (quality.keep_good, exact_dedup.drop_exact_copies, ngram_join.drop_near_copies, pii.mask_personal):
+        out = helper(docs)
+        assert out.columns == docs.columns
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert all(r[n] == "kept" for r in got.values() for n in names)
+        if helper is exact_dedup.drop_exact_copies:
+            assert set(got) == {1, 3, 4, 5}
+        if helper is pii.mask_personal:
+            assert "ann.b@" not in got[1]["text"] and got[2]["text"] == prose
+
+
+def test_one_labelled_window_trains_a_field(spark):
+    from tallymill.llm import pii
+
+    docs = spark.createDataFrame([(1, "mail ann.b@example.org please"), (2, "at 12 o'clock"), (3, "")], "doc_id long, text string")
+    assert pii.train(pii.found(docs)) is not None
+    assert pii.train(pii.found(docs.filter("doc_id > 1"))) is None
