@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallymill.llm.bitmaps import BITS, bitmaps_of, may_link
 from tallymill.llm.common import U64, map_batches, mixed, shingle_sets, text_rows
-from tallymill.llm.components import components
+from tallymill.llm.components import contracted, labels_of
 from tallymill.session import stored
 
 SHINGLE_WORDS = 4
@@ -36,6 +36,7 @@ BINS = 1 << BIN_BITS
 BAND_BINS = 4
 BANDS = BINS // BAND_BINS
 ROUNDS = 3
+EARLY_STARS = 2  # contractions between rounds; labels need not be final there
 CENTRES = (2, 8)  # edges a set takes part in as a member: in the first round, and in later ones
 
 
@@ -190,7 +191,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = stored(coarse.join(shared, "key", "left_semi").select("rep").distinct(), "met")
     members = stored(classes.select("rep", "n", "bands").join(met, "rep", "left_semi"), "members")
     sets = stored(full_sets(rows, members).dropDuplicates(["rep"]), "sets")
-    links = labels = None
+    tied = labels = None
     for turn in range(rounds):
         named = _labelled(members, labels)
         keys = F.explode("bands") if turn == 0 else _fine_keys(turn)
@@ -198,13 +199,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         pairs = nearest_centres(star_edges(placed, turn), CENTRES[min(turn, 1)])
         found = stored(confirmed(stored(pairs, "stars"), sets), "links")
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
+            tied = contracted(found if tied is None else tied.unionByName(found), EARLY_STARS)
+            labels = labels_of(tied)
+    if tied is not None:
+        tied = contracted(tied)
+        labels = labels_of(tied)
     apart = undecided(_labelled(members, labels).select("rep", "n", "label", F.explode("bands").alias("key")))
     if not apart.isEmpty():
         found = stored(confirmed(stored(rest_of_buckets(apart, bitmaps_of(sets)), "rest"), sets), "links")
         if not found.isEmpty():
-            labels = components(found if links is None else links.unionByName(found))
+            labels = labels_of(contracted(found if tied is None else tied.unionByName(found)))
     if labels is None:
         labels = members.select(F.col("rep").alias("node"), F.col("rep").alias("label"))
     groups = classes.select("d1", "d2", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(

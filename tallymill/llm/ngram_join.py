@@ -37,13 +37,14 @@ from pyspark.sql import functions as F
 
 from tallymill.llm.bitmaps import BITS, bitmaps_of, may_link
 from tallymill.llm.common import U64, free_name, map_batches, mixed, shingle_sets, text_rows
-from tallymill.llm.components import components
+from tallymill.llm.components import contracted, labels_of
 from tallymill.session import stored
 
 SHINGLE_WORDS = 5
 RANGES = 8
 PARTNERS = (2, 16)  # in the first round, and in later ones
 MOST_ROUNDS = 2
+EARLY_STARS = 2  # contractions between partner rounds; labels need not be final there
 POSTING = 256
 BUCKET_SHINGLES = 1 << 20
 
@@ -330,22 +331,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = prefix.select(F.col("rep").alias("_rep")).distinct()
     kept_sets = sets.join(kept, F.col("rep") == F.col("_rep"), "left_semi")
     pieces = stored(fragments(kept_sets), "pieces")
-    links = labels = None
+    stars = labels = None
 
-    def grown(pairs: DataFrame) -> bool:
-        """Whether the pairs held links; if so, the labels follow them."""
-        nonlocal links, labels
+    def grown(pairs: DataFrame, rounds: int | None = None) -> bool:
+        """Whether the pairs held links; if so, the stars and labels follow them."""
+        nonlocal stars, labels
         found = stored(linked(pairs, pieces), "links")
         if found.isEmpty():
             return False
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        stars = contracted(found if stars is None else stars.unionByName(found), rounds)
+        labels = labels_of(stars)
         return True
 
     for seed in range(MOST_ROUNDS):
         entries = stored(undecided(_labelled(prefix, labels)), "undecided")
-        if not grown(few_partners(entries, seed, PARTNERS[min(seed, 1)])):
+        if not grown(few_partners(entries, seed, PARTNERS[min(seed, 1)]), EARLY_STARS):
             break
+    if stars is not None:
+        stars = contracted(stars)
+        labels = labels_of(stars)
     entries = undecided(_labelled(prefix, labels))
     if not entries.isEmpty():
         grown(all_partners(stored(entries, "undecided"), stored(bitmaps_of(kept_sets), "bitmaps")))
