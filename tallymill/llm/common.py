@@ -76,20 +76,30 @@ def mixed(h: np.ndarray) -> np.ndarray:
 #: Space and tab to carriage return, as the contracts define the gaps between words.
 GAPS = np.zeros(256, bool)
 GAPS[[0x20, *range(0x09, 0x0E)]] = True
-CACHED_WORDS = 1_000_000
+LONG_WORD = 64  # bytes
+KEPT = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
-class WordHashes(dict):
-    """Hash of each word, computed once; it is not linear, so no rule of spelling makes two words meet."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word, eight bytes at a time; longer words one by one.
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-WORD_HASHES = WordHashes()
+    No step is linear, so no rule of spelling makes two words meet, and words of
+    one length of up to eight bytes never do. Nothing is kept between calls.
+    """
+    length = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight_from = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    hashes = mixed(length.astype(U64) + U64(0x9E3779B97F4A7C15))
+    at = np.flatnonzero(length <= LONG_WORD)
+    for k in range(0, LONG_WORD, 8):
+        at = at[length[at] > k]
+        if not len(at):
+            break
+        letters = eight_from[start[at] + k] & KEPT[np.minimum(length[at] - k, 8)]
+        hashes[at] = mixed((hashes[at] ^ letters) * U64(0xD6E8FEB86659FD93) + U64(k + 1))
+    for i in np.flatnonzero(length > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[start[i]:end[i]].tobytes())
+    return hashes
 
 
 class Words:
@@ -106,9 +116,7 @@ class Words:
         gap = GAPS[self.data]
         self.start = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
         self.end = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
-        known = WORD_HASHES  # bytes.split() cuts at the same white space as GAPS
-        split = (joined.lower() if lower else joined).split()
-        self.hash = np.fromiter((known[w] for w in split), U64, len(split))
+        self.hash = word_hashes(self.data, self.start, self.end)
         self.doc = np.searchsorted(self.begin, self.start, side="right") - 1
         self.docs = len(raw)
 
