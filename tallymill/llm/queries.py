@@ -65,7 +65,7 @@ def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def op6_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
     own = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
-    read = chat.read_back(*chat.format_conversations(own.unionByName(extra), TOKENIZER))
+    read = chat.read_back(*chat.format_conversations(own.unionByName(extra), TOKENIZER), TOKENIZER)
     return read.select(
         "conv_id", "n_turns", F.sha2(F.col("turns_text").cast("binary"), 256).alias("turns_sha256"),
         F.char_length("loss_text").cast("long").alias("loss_chars"),

@@ -117,3 +117,35 @@ def test_one_labelled_window_trains_a_field(spark):
     docs = spark.createDataFrame([(1, "mail ann.b@example.org please"), (2, "at 12 o'clock"), (3, "")], "doc_id long, text string")
     assert pii.train(pii.found(docs)) is not None
     assert pii.train(pii.found(docs.filter("doc_id > 1"))) is None
+
+
+def test_registered_chat_digests_from_the_table(spark, folder):
+    from tallymill.llm.queries import CONTROL_TURNS
+
+    conversations: dict = {}
+    rows = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    for c, turn, role, text in [*map(tuple, rows), *CONTROL_TURNS]:
+        conversations.setdefault(c, []).append((turn, role or "", text or ""))
+    got = {r.conv_id: r for r in QUERIES["op6_chat_tree"](spark, folder).collect()}
+    assert set(got) == set(conversations)
+    for c, turns in conversations.items():
+        turns.sort()
+        whole = "".join(f"{role}\n{text}\n" for _, role, text in turns)
+        loss = "".join(text for _, role, text in turns if role == "assistant")
+        r = got[c]
+        assert (r.n_turns, r.loss_chars) == (len(turns), len(loss))
+        assert r.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_word_hashes_tell_words_apart():
+    import itertools
+
+    from tallymill.llm.common import LONG_WORD, Words
+
+    pad = "a" * (LONG_WORD - 6)
+    words = ["".join(w) for k in range(1, 11) for w in itertools.product("ab", repeat=k)]
+    words += [pad + w for w in words] + ["\x00", "\x00\x00", "é", "e"]
+    one_by_one = [int(Words([w]).hash[0]) for w in words]
+    assert len(set(one_by_one)) == len(set(words))
+    assert Words([" \t".join(words)]).hash.tolist() == one_by_one

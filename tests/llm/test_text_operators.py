@@ -310,7 +310,7 @@ def test_chat_reads_back_and_shares(spark):
     turns = defaultdict(list)
     for c, t, role, text in sorted(rows, key=lambda r: (r[0] or 0, r[1])):
         turns[c].append((role or "", text or ""))
-    for r in chat.read_back(tree, members).collect():
+    for r in chat.read_back(tree, members, PATH).collect():
         assert r.turns_text == "".join(f"{a}\n{b}\n" for a, b in turns[r.conv_id])
         assert r.loss_text == "".join(b for a, b in turns[r.conv_id] if a == "assistant")
     nodes = {r.node: r for r in tree.collect()}
@@ -320,6 +320,9 @@ def test_chat_reads_back_and_shares(spark):
         seen = r.ancestor_intervals or []
         assert len(seen) == r.depth - 1 and r.position_start == sum(b - a for a, b in seen)
         assert all(a < r.stream_start < r.attend_until for a, _ in seen)
+        masked = Tokenizer.from_file(PATH).decode(r.tokens[r.loss_start:r.loss_end], skip_special_tokens=False)
+        body = r.segment[r.segment.index(": ") + 2:-len(chat.CLOSING)]
+        assert masked == (body if r.role == "assistant" else "")
     places = sorted(i for r in nodes.values() for i in range(r.stream_start, r.stream_start + r.n_tokens))
     assert places == list(range(len(places)))
-    assert chat.read_back(*chat.format_conversations(table.limit(0), PATH)).isEmpty()
+    assert chat.read_back(*chat.format_conversations(table.limit(0), PATH), PATH).isEmpty()
