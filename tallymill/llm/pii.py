@@ -15,13 +15,15 @@ of the four types.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tallymill.llm.common import free_name, map_batches, row_hash, text_rows
+from tallymill.llm.common import map_batches, row_hash, text_rows
 from tallymill.llm.spans import Span, merged, regions
 from tallymill.session import stored
 
@@ -263,19 +265,10 @@ def train(table: DataFrame, size: int = SAMPLE) -> Field | None:
     return field
 
 
-def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document its fixed spans and all spans (kind, low, high), by kind, then start.
-
-    Offsets are code points, ends exclusive. The field adds entities that it
-    gives a probability of 0.9 or more and that touch no fixed span. NULL and
-    empty texts have no spans. Rows are independent, so repeated rows repeat;
-    other columns are not read; an empty table, or one without a
-    single labelled window, gives fixed spans only. A window longer than 120 tokens is
-    read in overlapping parts, so no text is left out.
-    """
-    table = stored(found(docs, id_col, text_col), "personal")
-    field = train(table)
+def span_finder(field: Field | None) -> Callable[[list[Span], list[dict]], list[Span]]:
+    """From a text's fixed spans and windows to all its spans; windows met before are not read again."""
     rank = {k: i for i, k in enumerate(KINDS)}
+    known: dict[str, list] = {}
 
     def entities(seen: str) -> list[tuple[str, int, int, float]]:
         whole = Window(seen)
@@ -287,17 +280,34 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             out += [(k, s + low, e + low, p) for k, s, e, p in field.best(Window(seen[low:high]))]
         return out
 
+    def spans(base: list[Span], windows: list[dict]) -> list[Span]:
+        more: list[Span] = []
+        for w in windows if field else ():
+            if w["seen"] not in known:
+                known[w["seen"]] = entities(w["seen"])
+            more += [(k, w["at"] + s, w["at"] + e) for k, s, e, p in known[w["seen"]] if p >= CONFIDENCE]
+        return sorted(merged(base, more), key=lambda x: (rank[x[0]], x[1], x[2]))
+
+    return spans
+
+
+def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document its fixed spans and all spans (kind, low, high), by kind, then start.
+
+    Offsets are code points, ends exclusive. The field adds entities that it
+    gives a probability of 0.9 or more and that touch no fixed span. NULL and
+    empty texts have no spans. Rows are independent, so repeated rows repeat;
+    other columns are not read; an empty table, or one without a
+    single labelled window, gives fixed spans only. A window longer than 120 tokens is
+    read in overlapping parts, so no text is left out.
+    """
+    table = stored(found(docs, id_col, text_col), "personal")
+    field = train(table)
     def work(batch: dict[str, list]) -> dict:
-        known: dict[str, list] = {}
+        finder = span_finder(field)
         out: dict[str, list] = {"doc_id": batch["doc_id"], "fixed": batch["fixed"], "spans": []}
         for fixed, windows in zip(batch["fixed"], batch["windows"]):
-            base = [(f["kind"], f["low"], f["high"]) for f in fixed]
-            more: list[Span] = []
-            for w in windows if field else ():
-                if w["seen"] not in known:
-                    known[w["seen"]] = entities(w["seen"])
-                more += [(k, w["at"] + s, w["at"] + e) for k, s, e, p in known[w["seen"]] if p >= CONFIDENCE]
-            spans = sorted(merged(base, more), key=lambda x: (rank[x[0]], x[1], x[2]))
+            spans = finder([(f["kind"], f["low"], f["high"]) for f in fixed], windows)
             out["spans"].append([{"kind": k, "low": s, "high": e} for k, s, e in spans])
         return out
 
@@ -318,21 +328,26 @@ def masked(text: str, spans: Sequence[Span]) -> str:
 def mask_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every found span replaced; ``n_chars``, if there, follows the new text.
 
-    Only ids with findings meet the texts. Rows that repeat id and text are
-    masked alike; ids are otherwise unique. A row without an id stays as it is.
+    Spans are found and replaced in the task that holds the text, so each row
+    is masked by its own text: a row without an id too, rows that repeat an id
+    each for itself. NULL texts stay NULL. Other columns pass as they are (of
+    types that Arrow carries).
     """
-    key, spans = free_name(docs, "_found_id"), free_name(docs, "_spans")
-    findings = find_personal(docs, id_col, text_col).filter(F.size("spans") > 0).groupBy(
-        F.col("doc_id").alias(key)
-    ).agg(F.first("spans").alias(spans))
-    rows = docs.join(findings.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col(key), "left")
-    swap = F.udf(
-        lambda text, spans: masked(text, [(s["kind"], s["low"], s["high"]) for s in spans]) if spans and text else text,
-        "string", useArrow=True,
-    )
-    whole = F.col(f"`{text_col}`")
-    text = F.when(F.col(spans).isNotNull(), swap(whole, F.col(spans))).otherwise(whole)
-    out = rows.withColumn(text_col, text)
+    field = train(stored(found(docs, id_col, text_col).select("windows"), "personal"))
+    place = [c.lower() for c in docs.columns].index(text_col.lower())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            finder, texts = span_finder(field), batch.column(place).to_pylist()
+            for i, text in enumerate(texts):
+                if text and TRIGGER.search(text):
+                    fixed = fixed_spans(text)
+                    texts[i] = masked(text, finder(fixed, windows_of(text, fixed)))
+            kind = batch.schema.field(place)
+            yield batch.set_column(place, kind, pa.array(texts, kind.type))
+
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema])
+    out = docs.mapInArrow(run, schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(F.col(f"`{text_col}`")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return out
