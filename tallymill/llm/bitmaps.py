@@ -22,11 +22,11 @@ def bitmaps_of(sets: DataFrame) -> DataFrame:
     def work(batch: dict[str, list]) -> dict:
         bits = np.zeros((len(batch["rep"]), WORDS), U64)
         for row, hashes in zip(bits, batch["hashes"]):
-            place = (mixed(np.array(hashes, np.int64).astype(U64)) >> U64(32)) * U64(64 * WORDS) >> U64(32)
+            place = (mixed(hashes.astype(U64)) >> U64(32)) * U64(64 * WORDS) >> U64(32)
             np.bitwise_or.at(row, (place >> U64(6)).astype(np.int64), U64(1) << (place & U64(63)))
         return {"rep": batch["rep"], **{b: bits[:, i].astype(np.int64) for i, b in enumerate(BITS)}}
 
-    return map_batches(sets, work, "rep long, " + ", ".join(f"{b} long" for b in BITS))
+    return map_batches(sets, work, "rep long, " + ", ".join(f"{b} long" for b in BITS), arrays=["hashes"])
 
 
 def may_link() -> Column:

@@ -42,14 +42,30 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
-def map_batches(df: DataFrame, work: Callable[[dict[str, list]], dict], schema: str) -> DataFrame:
-    """``work`` turns the columns of a batch into the columns of ``schema``."""
+def number_lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a column of lists of numbers, none of them NULL, as views of its buffer."""
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(column.flatten().to_numpy(), ends[:-1])
+
+
+def map_batches(
+    df: DataFrame, work: Callable[[dict[str, list]], dict], schema: str, arrays: Sequence[str] = (),
+) -> DataFrame:
+    """``work`` turns the columns of a batch into the columns of ``schema``.
+
+    Columns are lists of Python values; those named in ``arrays`` hold lists of
+    numbers and come as NumPy arrays, eight bytes a number instead of forty.
+    """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(work(batch.to_pydict()), schema=arrow)
+                columns = {
+                    name: number_lists(values) if name in arrays else values.to_pylist()
+                    for name, values in zip(batch.schema.names, batch.columns)
+                }
+                yield pa.RecordBatch.from_pydict(work(columns), schema=arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -187,7 +187,7 @@ def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
     def deal(batch: dict[str, list]) -> dict:
         owners = np.repeat(np.array(batch["rep"], np.int64), batch["n"])
         sizes = np.repeat(np.array(batch["n"], np.int64), batch["n"])
-        hashes = np.concatenate([np.array(h, np.int64) for h in batch["hashes"]]).astype(U64)
+        hashes = np.concatenate(batch["hashes"]).astype(U64)
         parts = list(_dealt(_scrambled(hashes, buckets), hashes, owners, sizes))
         return dict(zip(("bucket", "hashes", "owners", "sizes"), map(list, zip(*parts))))
 
@@ -215,7 +215,7 @@ def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
 
     packed = "hashes binary, owners binary, sizes binary"
     by_set = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("hashes", "owners", "sizes", "counts"))])
-    dealt = map_batches(sets.filter("n > 0"), deal, f"bucket int, {packed}")
+    dealt = map_batches(sets.filter("n > 0"), deal, f"bucket int, {packed}", arrays=["hashes"])
     counted = dealt.groupBy("bucket").applyInArrow(count, f"bucket int, {packed}, counts binary")
     return counted.groupBy("bucket").applyInArrow(cut, "h long, df long, rep long, n long, pos long")
 
@@ -293,15 +293,14 @@ def fragments(sets: DataFrame, ranges: int = RANGES) -> DataFrame:
 
     def work(batch: dict[str, list]) -> dict:
         out: dict[str, list] = {"rep": [], "fragment": [], "hashes": []}
-        for rep, hashes in zip(batch["rep"], batch["hashes"]):
-            h = np.array(hashes, np.int64)
+        for rep, h in zip(batch["rep"], batch["hashes"]):
             for i, part in enumerate(np.split(h, np.searchsorted(h.astype(U64), edges))):
                 if len(part):
                     for column, value in zip(out.values(), (rep, i, part)):
                         column.append(value)
         return out
 
-    return map_batches(sets, work, "rep long, fragment int, hashes array<long>")
+    return map_batches(sets, work, "rep long, fragment int, hashes array<long>", arrays=["hashes"])
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
