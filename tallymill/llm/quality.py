@@ -12,12 +12,14 @@ of the number of rules).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallymill.llm.common import Words, free_name, map_batches, text_blocks, text_rows
 from tallymill.session import stored
@@ -129,11 +131,29 @@ def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def votes(rules: Sequence[Rule] = RULES) -> Column:
-    """One of +, - and 0 per rule; a measure without words or lines abstains."""
+def measured(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with each text's counts as the struct ``name``."""
+    place = [c.lower() for c in docs.columns].index(text_col.lower())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = measure([text or "" for text in batch.column(place).to_pylist()])
+            column = pa.StructArray.from_arrays([pa.array(counts[c], pa.int64()) for c in COUNTS], COUNTS)
+            yield batch.append_column(name, column)
+
+    own = [StructField(f.name, f.dataType) for f in docs.schema]
+    counts = StructType([StructField(c, LongType()) for c in COUNTS])
+    return docs.mapInArrow(run, StructType([*own, StructField(name, counts)]))
+
+
+def votes(rules: Sequence[Rule] = RULES, within: str = "") -> Column:
+    """One of +, - and 0 per rule; a measure without words or lines abstains.
+
+    ``within`` stands before the names of the counts, for those in a struct.
+    """
     def vote(rule: Rule) -> Column:
         above, below = rule.measure.split(" / ")
-        share = F.expr(f"{above} / nullif({below}, 0)")
+        share = F.expr(f"{within}{above} / nullif({within}{below}, 0)")
         good = F.lit(False) if rule.good is None else share <= rule.good
         bad = F.lit(False) if rule.bad is None else share > rule.bad
         return F.when(good, "+").when(bad, "-").otherwise("0")
@@ -202,26 +222,41 @@ def quality(
     is read; an empty table gives no rows.
     """
     base = stored(counted(docs, id_col, text_col), "quality").withColumn("votes", votes(rules))
-    patterns = {r["votes"]: r["count"] for r in base.groupBy("votes").count().collect()}
-    model = estimate(patterns)
-    table = docs.sparkSession.createDataFrame(
-        [(p, model.posterior(p)) for p in patterns], "votes string, posterior double"
-    )
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    table = posteriors(base.select("votes"))
     return (
         base.join(F.broadcast(table), "votes")
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("posterior") >= threshold))
+        .withColumn("base_failed", failed())
+        .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
     )
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``quality`` rejects; all their columns.
+def posteriors(cast: DataFrame) -> DataFrame:
+    """Each pattern of ``votes`` that was cast, with its ``posterior``: one row per pattern."""
+    patterns = {r["votes"]: r["count"] for r in cast.groupBy("votes").count().collect()}
+    model = estimate(patterns)
+    return cast.sparkSession.createDataFrame(
+        [(p, model.posterior(p)) for p in patterns], "votes string, posterior double"
+    )
+
+
+def failed(within: str = "") -> Column:
+    """Fewer than 20 words, or over 30 % of them in repeated windows."""
+    return F.expr(f"{within}n_words < 20 OR 100 * {within}n_repeat_words > 30 * {within}n_words")
+
+
+def keep_good(
+    docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, threshold: float = 0.5,
+) -> DataFrame:
+    """``docs`` without the rows that ``quality`` rejects; all their columns (of types that Arrow carries).
 
-    The verdict belongs to an id; a NULL id is judged as one document, and of
-    rows that share an id all go if one of their texts is rejected.
+    Each row is judged by its own text in the task that holds it, so no text is
+    shuffled; ids are not read, and rows that share one are judged each for
+    itself. Texts are measured twice, once for the estimate.
     """
-    key = free_name(docs, "_reject_id")
-    rejected = quality(docs, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias(key))
-    match = F.col(f"`{id_col}`").eqNullSafe(F.col(key))
-    return docs.join(rejected.hint("shuffle_hash"), match, "left_anti")
+    key, held = free_name(docs, "_measures"), free_name(docs, "_pattern")
+    cast = measured(docs.select(F.col(f"`{text_col}`").alias("text")), key).select(votes(rules, f"{key}.").alias("votes"))
+    table = posteriors(cast).select(F.struct("votes", "posterior").alias(held))
+    judged = measured(docs, key, text_col).join(
+        F.broadcast(table), votes(rules, f"{key}.") == F.col(f"{held}.votes")
+    ).filter(~failed(f"{key}.") & (F.col(f"{held}.posterior") >= threshold))
+    return judged.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -8,10 +8,12 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tallymill.llm import bpe, exact_dedup, ngram_join, packing, quality
+from tallymill.llm.common import number_lists
 from tallymill.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,7 +97,7 @@ def test_helpers_take_any_column_names(spark):
     """Columns named like the helpers' own are kept, and the decisions are the same."""
     from tallymill.llm import pii
 
-    names = ("_reject_id", "_drop_id", "_DROP_DIGEST", "_found_id", "_spans")
+    names = ("_reject_id", "_measures", "_PATTERN", "n_words", "votes", "_drop_id", "_DROP_DIGEST", "_found_id", "_spans")
     prose = "The river ran past old houses, and people stood there to see it go by every day, said one. " * 3
     rows = [(1, f"{prose} Write to ann.b@example.org now."), (2, prose), (3, prose), (4, "# $ %"), (5, None)]
     docs = spark.createDataFrame(
@@ -169,3 +171,21 @@ def test_every_row_is_masked_by_its_own_text(spark):
         assert all(r[c] == before[i][c] for c in ("doc_id", "seen_at", "listed", "spans"))
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert pii.mask_personal(docs.filter("place > 9")).isEmpty()
+
+
+def test_number_lists_are_the_rows_of_any_slice():
+    rows = [[3, 1], [], [-5], [7, 8, 9], []]
+    for low in range(6):
+        for high in range(low + 1, 6):
+            column = pa.array(rows, pa.list_(pa.int64())).slice(low, high - low)
+            assert [r.tolist() for r in number_lists(column)] == rows[low:high]
+
+
+def test_every_row_is_kept_by_its_own_text(spark):
+    """Rows without an id and rows that share one, good and bad texts among both."""
+    prose = "The river ran past old houses, and people stood there to see it go by every day, said one of them."
+    rows = [(None, prose), (None, "# $ %"), (7, prose + " So it was."), (7, None), (7, ""), (8, "few words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in quality.keep_good(docs).collect()} == {rows[0], rows[2]}
+    assert quality.keep_good(docs.limit(0)).isEmpty()
+    assert "Exchange hashpartitioning" not in quality.keep_good(docs)._jdf.queryExecution().toString()
