@@ -13,6 +13,7 @@ sequence and its neighbours.
 from __future__ import annotations
 
 import zlib
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -71,6 +72,8 @@ def fractional_patterns(demand: np.ndarray, size: int, rounds: int = 4000) -> li
 
     The basis starts with one class per pattern. Surplus columns let a class be
     covered more often than it has pieces. Classes without pieces take no part.
+    After ``rounds`` the patterns found so far are used, with a warning: they
+    cover the demand as well, only their padding may be more than the least.
     """
     used = np.flatnonzero(demand)
     if not len(used):
@@ -101,6 +104,8 @@ def fractional_patterns(demand: np.ndarray, size: int, rounds: int = 4000) -> li
         row = inverse[leaves] / change[leaves]
         inverse = inverse - np.outer(change, row)
         inverse[leaves] = row
+    else:
+        warnings.warn(f"column generation stopped after {rounds} rounds, before the optimum", stacklevel=2)
     amount = (inverse * need).sum(1)
     out = []
     for k in np.flatnonzero(cost):

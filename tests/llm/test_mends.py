@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import warnings
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -189,3 +191,14 @@ def test_every_row_is_kept_by_its_own_text(spark):
     assert {(r.doc_id, r.text) for r in quality.keep_good(docs).collect()} == {rows[0], rows[2]}
     assert quality.keep_good(docs.limit(0)).isEmpty()
     assert "Exchange hashpartitioning" not in quality.keep_good(docs)._jdf.queryExecution().toString()
+
+
+def test_an_early_end_of_column_generation_is_reported():
+    demand = np.arange(1, 33)
+    with pytest.warns(UserWarning, match="after 1 rounds"):
+        early = packing.fractional_patterns(demand, 40, rounds=1)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        whole = packing.fractional_patterns(demand, 40)
+    assert (sum(p * n for p, n in early) >= demand - 1e-6).all()
+    assert sum(n for _, n in whole) <= sum(n for _, n in early)
