@@ -8,7 +8,7 @@ apply as usual.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,13 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches cut into parts of ``rows`` rows, so that a task holds less of them as Python values."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def number_lists(column: pa.Array) -> list[np.ndarray]:
     """The rows of a column of lists of numbers, none of them NULL, as views of its buffer."""
     ends = np.cumsum(column.value_lengths().to_numpy())
@@ -50,16 +57,18 @@ def number_lists(column: pa.Array) -> list[np.ndarray]:
 
 def map_batches(
     df: DataFrame, work: Callable[[dict[str, list]], dict], schema: str, arrays: Sequence[str] = (),
+    rows: int | None = None,
 ) -> DataFrame:
     """``work`` turns the columns of a batch into the columns of ``schema``.
 
     Columns are lists of Python values; those named in ``arrays`` hold lists of
     numbers and come as NumPy arrays, eight bytes a number instead of forty.
+    ``rows`` cuts batches into parts of so many.
     """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if rows is None else slices(batches, rows):
             if batch.num_rows:
                 columns = {
                     name: number_lists(values) if name in arrays else values.to_pylist()

@@ -46,7 +46,7 @@ def cut_pieces(
 
     return map_batches(
         text_rows(docs, id_col, text_col), work,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long",
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long", rows=1024,
     )
 
 

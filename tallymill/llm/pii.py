@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tallymill.llm.common import map_batches, row_hash, text_rows
+from tallymill.llm.common import map_batches, row_hash, slices, text_rows
 from tallymill.llm.spans import Span, merged, regions
 from tallymill.session import stored
 
@@ -338,13 +338,15 @@ def mask_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            finder, texts = span_finder(field), batch.column(place).to_pylist()
-            for i, text in enumerate(texts):
-                if text and TRIGGER.search(text):
-                    fixed = fixed_spans(text)
-                    texts[i] = masked(text, finder(fixed, windows_of(text, fixed)))
-            kind = batch.schema.field(place)
-            yield batch.set_column(place, kind, pa.array(texts, kind.type))
+            finder = span_finder(field)
+            for part in slices([batch]):
+                texts = part.column(place).to_pylist()
+                for i, text in enumerate(texts):
+                    if text and TRIGGER.search(text):
+                        fixed = fixed_spans(text)
+                        texts[i] = masked(text, finder(fixed, windows_of(text, fixed)))
+                kind = part.schema.field(place)
+                yield part.set_column(place, kind, pa.array(texts, kind.type))
 
     schema = StructType([StructField(f.name, f.dataType) for f in docs.schema])
     out = docs.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tallymill.llm.common import Words, free_name, map_batches, text_blocks, text_rows
+from tallymill.llm.common import Words, free_name, map_batches, slices, text_blocks, text_rows
 from tallymill.session import stored
 
 SYMBOLS = b"#*$%&|<>"
@@ -136,7 +136,7 @@ def measured(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
     place = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts = measure([text or "" for text in batch.column(place).to_pylist()])
             column = pa.StructArray.from_arrays([pa.array(counts[c], pa.int64()) for c in COUNTS], COUNTS)
             yield batch.append_column(name, column)
