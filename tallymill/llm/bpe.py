@@ -12,15 +12,16 @@ moment the symbol at the left of the border is on the right spine of the first
 token's merge tree, and the symbol at its right on the left spine of the
 second's.
 
-Words are found with array operations on a block of texts; each distinct word,
-kept under its own characters, is encoded once per worker while it is in the
-bounded cache.
+Words are found and told apart with array operations on a block of texts; each
+distinct word is encoded once per worker while it is in the bounded cache, which
+holds its hash, its bytes and its ids in plain arrays. A word is taken from the
+cache only if its bytes are those kept there.
 """
 
 from __future__ import annotations
 
-import array
 import hashlib
+import itertools
 import json
 import re
 import sys
@@ -32,10 +33,10 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tallymill.llm.common import gather, map_batches, text_blocks, text_rows
+from tallymill.llm.common import U64, gather, map_batches, text_blocks, text_rows, word_hashes
 
-CACHED_WORDS = 1_000_000
-CACHED_PAIRS = 2_000_000
+CACHED_WORDS = 500_000
+CACHED_PAIRS = 500_000
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: White space of the Unicode character database, fixed values.
 WHITE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
@@ -135,25 +136,40 @@ class Codec:
             known = self.pairs[key] = self._border_holds(a, b, len(self.rank))
         return known
 
-    def encode_word(self, word: str) -> list[int]:
-        raw = word.encode("utf-8", "surrogatepass").decode("latin-1")
-        last = [-1] * (len(raw) + 1)
-        length, fits = self.length, self.fits
-        for at, token in self.automaton.iter(raw):
-            if last[at + 1] < 0:
-                before = at + 1 - length[token]
-                if before == 0 or fits(last[before], token):
-                    last[at + 1] = token
-        ids, at = [], len(raw)
-        while at:
-            ids.append(last[at])
-            at -= length[last[at]]
-        return ids[::-1]
+    def encode_words(self, words: Sequence[bytes]) -> list[list[int]]:
+        """The ids of each word. In order, a word takes the entries of the prefix it shares with the one before."""
+        length, known, fits = self.length, self.pairs.get, self.fits
+        out: list[list[int]] = [[]] * len(words)
+        before, last = "", []
+        for i in sorted(range(len(words)), key=words.__getitem__):
+            raw = words[i].decode("latin-1")
+            shared = 0
+            for a, b in zip(raw, before):
+                if a != b:
+                    break
+                shared += 1
+            last = [*last[:shared], *[-1] * (len(raw) - shared)]  # by the place where a prefix ends
+            for at, token in self.automaton.iter(raw):
+                if last[at] < 0:
+                    start = at + 1 - length[token]
+                    if start:
+                        fit = known(last[start - 1] << 20 | token)
+                        if fit is None:
+                            fit = fits(last[start - 1], token)
+                        if not fit:
+                            continue
+                    last[at] = token
+            before, ids, at = raw, [], len(raw) - 1
+            while at >= 0:
+                ids.append(last[at])
+                at -= length[last[at]]
+            out[i] = ids[::-1]
+        return out
 
     def clear(self) -> None:
-        """Empty the cache: the slot of each word, and ids by slot."""
-        self.slots: dict[str, int] = {}
-        self.flat, self.starts = array.array("i"), array.array("q", [0])
+        """Empty the cache: hashes in order with the slot of each, and bytes and ids by slot."""
+        self.hashes, self.slots = np.empty(0, U64), np.empty(0, np.int64)
+        self.spelt, self.ids = (np.zeros(1, np.int64), np.empty(0, np.uint8)), (np.zeros(1, np.int64), np.empty(0, np.int32))
 
     def word_starts(self, codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """True where a word of the vocabulary's splitting pattern begins.
@@ -192,6 +208,52 @@ class Codec:
         out[rest[rest < word_end]] = True
         return out
 
+    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word begin, one entry more than words, and all ids."""
+        ids = self.encode_words(words)
+        ends = np.cumsum([0, *map(len, ids)])
+        return ends, np.fromiter(itertools.chain.from_iterable(ids), np.int32, ends[-1])
+
+    def slots_of(self, data: np.ndarray, size: np.ndarray) -> np.ndarray | None:
+        """The slot of each of the words, of ``size`` bytes, that make up ``data``; all are cached then.
+
+        None if two different words, of these or the cached, have one hash.
+        """
+        if len(self.hashes) > CACHED_WORDS:
+            self.clear()
+        stop = np.cumsum(size)
+        start = stop - size
+        hashes, first, place = np.unique(word_hashes(data, start, stop), return_index=True, return_inverse=True)
+        own, length = start[first], size[first]
+        at = np.searchsorted(self.hashes, hashes)
+        fresh = np.append(self.hashes, U64(0))[at] != hashes
+        fresh |= at == len(self.hashes)
+        slot = np.append(self.slots, 0)[at]
+        slot[fresh] = len(self.slots) + np.arange(fresh.sum())
+        if fresh.any():
+            spelt = gather(own[fresh], length[fresh], data)
+            ends = np.cumsum(np.append(0, length[fresh]))
+            raw = spelt.tobytes()
+            ids = self.encoded([raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
+            self.spelt, self.ids = (
+                (np.append(old[0], old[0][-1] + new[0][1:]), np.append(old[1], new[1]))
+                for old, new in ((self.spelt, (ends, spelt)), (self.ids, ids))
+            )
+            self.hashes = np.insert(self.hashes, at[fresh], hashes[fresh])
+            self.slots = np.insert(self.slots, at[fresh], slot[fresh])
+        slot = slot[place]
+        begin, letters = self.spelt
+        kept = begin[slot + 1] - begin[slot]
+        if np.array_equal(kept, size) and np.array_equal(gather(begin[slot], kept, letters), data):
+            return slot
+        return None
+
+    def one_by_one(self, data: np.ndarray, size: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """The ids of the distinct words, and which of them each word is, without hashes and cache."""
+        ends, raw, seen = np.cumsum(size).tolist(), data.tobytes(), {}
+        slot = [seen.setdefault(raw[a:b], len(seen)) for a, b in zip([0, *ends], ends)]
+        return self.encoded(list(seen)), np.array(slot)
+
     def encode_block(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text, special tokens' strings not looked for."""
         joined = "".join(texts)
@@ -202,18 +264,13 @@ class Codec:
             return [np.empty(0, np.int32) for _ in texts]
         begin = (ends - sizes)[sizes > 0]
         start = np.flatnonzero(self.word_starts(codes, begin))
-        stop = np.append(start[1:], len(codes))
-        words = [joined[low:high] for low, high in zip(start.tolist(), stop.tolist())]
-        if len(self.slots) > CACHED_WORDS:
-            self.clear()
-        slots = self.slots
-        for word in set(words).difference(slots):
-            slots[word] = len(self.starts) - 1
-            self.flat.extend(self.encode_word(word))
-            self.starts.append(len(self.flat))
-        slot = np.fromiter((slots[word] for word in words), np.int64, len(words))
-        offsets = np.array(self.starts)  # copies: a view would pin the growing buffers
-        flat = np.array(self.flat)
+        data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+        width = np.ones(len(codes), np.uint8)
+        for least in (0x80, 0x800, 0x10000) if len(data) > len(codes) else ():
+            width += codes >= least
+        size = np.add.reduceat(width, start, dtype=np.int64)
+        slot = self.slots_of(data, size)
+        (offsets, flat), slot = (self.ids, slot) if slot is not None else self.one_by_one(data, size)
         word_first, word_size = offsets[slot], offsets[slot + 1] - offsets[slot]
         ids = gather(word_first, word_size, flat)
         upto = np.concatenate([[0], np.cumsum(word_size)])[np.searchsorted(start, ends)]
