@@ -159,14 +159,20 @@ def undecided(placed: DataFrame) -> DataFrame:
 
 
 def rest_of_buckets(placed: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Pairs in one bucket, of two components, that their bitmaps do not rule out."""
+    """Pairs in one bucket, of two components, that their bitmaps do not rule out.
+
+    ``placed`` holds (key, rep, n, label, bands). A pair comes from one of the
+    buckets that it shares, that of the smallest key, not from each of them; all
+    of them are in ``placed``, as such a pair makes a bucket undecided.
+    """
     left = placed.join(stored(bitmaps, "bitmaps"), "rep")
-    right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("rep", "n", "label", *BITS)))
+    right = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("rep", "n", "label", "bands", *BITS)))
     fits = 5 * F.least("n", "n_2") >= 4 * F.greatest("n", "n_2")
-    apart = (F.col("rep") < F.col("rep_2")) & (F.col("label") != F.col("label_2")) & fits & may_link()
+    once = F.array_min(F.array_intersect("bands", "bands_2")) == F.col("l.key")
+    apart = (F.col("rep") < F.col("rep_2")) & (F.col("label") != F.col("label_2")) & fits & may_link() & once
     return left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & apart).select(
         F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("rep_2").alias("y"), F.col("n_2").alias("ny")
-    ).distinct()
+    )
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -204,7 +210,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if tied is not None:
         tied = contracted(tied)
         labels = labels_of(tied)
-    apart = undecided(_labelled(members, labels).select("rep", "n", "label", F.explode("bands").alias("key")))
+    apart = undecided(_labelled(members, labels).select(
+        "rep", "n", "label", "bands", F.explode("bands").alias("key")
+    ))
     if not apart.isEmpty():
         found = stored(confirmed(stored(rest_of_buckets(apart, bitmaps_of(sets)), "rest"), sets), "links")
         if not found.isEmpty():

@@ -1,9 +1,12 @@
 """What round 3 found in the text operators."""
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallymill.llm import bpe
+from tallymill.llm import bpe, minhash
+from tallymill.llm.bitmaps import bitmaps_of
+from tallymill.llm.common import text_rows
 from tallymill.llm.queries import TOKENIZER as PATH
 
 TEXTS = ["one two three two", "", "zwei öfter\U0001F600 one", "one", "\ud800 two two"]
@@ -36,3 +39,15 @@ def test_cache_is_emptied_at_its_limit(monkeypatch):
     for _ in range(3):
         assert [x.tolist() for x in coder.encode(TEXTS[:4])] == library(TEXTS[:4])
     assert len(coder.hashes) < 10
+
+
+def test_a_pair_of_many_shared_buckets_is_met_once(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [words, [*words[:10], "x", *words[11:]], [*words[:300], *(f"v{i}" for i in range(100))]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    sizes = minhash.sketched(text_rows(docs)).withColumnRenamed("doc_id", "rep").withColumn("label", F.col("rep"))
+    placed = sizes.select("rep", "n", "label", "bands", F.explode("bands").alias("key"))
+    members = sizes.select("rep")
+    bitmaps = bitmaps_of(minhash.full_sets(text_rows(docs), members))
+    pairs = [(r.x, r.y) for r in minhash.rest_of_buckets(minhash.undecided(placed), bitmaps).collect()]
+    assert (0, 1) in pairs and len(pairs) == len(set(pairs))
