@@ -90,7 +90,7 @@ def sketched(rows: DataFrame) -> DataFrame:
             "bands": bands,
         }
 
-    return map_batches(rows, work, "doc_id long, n long, d1 long, d2 long, bands array<long>")
+    return map_batches(rows, work, "doc_id long, n long, d1 long, d2 long, bands array<long>", rows=1024)
 
 
 def full_sets(rows: DataFrame, members: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def full_sets(rows: DataFrame, members: DataFrame) -> DataFrame:
         return {"rep": batch["doc_id"], "hashes": [s.astype(np.int64) for s in sets]}
 
     chosen = members.select(F.col("rep").alias("doc_id"))
-    return map_batches(rows.join(chosen, "doc_id", "left_semi"), work, "rep long, hashes array<long>")
+    return map_batches(rows.join(chosen, "doc_id", "left_semi"), work, "rep long, hashes array<long>", rows=1024)
 
 
 def star_edges(placed: DataFrame, seed: int) -> DataFrame:

@@ -46,7 +46,7 @@ PARTNERS = (2, 16)  # in the first round, and in later ones
 MOST_ROUNDS = 2
 EARLY_STARS = 2  # contractions between partner rounds; labels need not be final there
 POSTING = 256
-BUCKET_SHINGLES = 1 << 20
+BUCKET_SHINGLES = 1 << 19
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -107,7 +107,7 @@ def set_sizes(rows: DataFrame) -> DataFrame:
             "d2": [int(mixed(s + U64(0x51ED270B)).sum(dtype=U64).astype(np.int64)) for s in sets],
         }
 
-    return map_batches(rows, work, "doc_id long, n long, d1 long, d2 long")
+    return map_batches(rows, work, "doc_id long, n long, d1 long, d2 long", rows=1024)
 
 
 def promising(rows: DataFrame, buckets: int) -> DataFrame:
@@ -174,7 +174,7 @@ def sets_of(rows: DataFrame) -> DataFrame:
         sets = shingle_sets(batch["text"], SHINGLE_WORDS)
         return {"rep": batch["doc_id"], "n": [len(s) for s in sets], "hashes": [s.astype(np.int64) for s in sets]}
 
-    return map_batches(rows, work, "rep long, n long, hashes array<long>")
+    return map_batches(rows, work, "rep long, n long, hashes array<long>", rows=1024)
 
 
 def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
