@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymill.plans.sql_views import VIEWS
-from tallymill.session import scratch_path
+from tallymill.session import scratch_path, stored
 from tallymill.sources.lines import order_lines, source_table
 
 
@@ -30,6 +30,21 @@ class Source:
         return scratch_path(self.spark, label)
 
 
+@dataclass(frozen=True)
+class SourceOfLines(Source):
+    """A source whose order lines, of some columns, are written already."""
+
+    written: DataFrame
+
+    def lines(self, *columns: str) -> DataFrame:
+        return self.written.select(*columns)
+
+
+def with_lines(source: Source, *columns: str) -> SourceOfLines:
+    """``source`` with its lines put together and written once, for what reads them many times."""
+    return SourceOfLines(source.spark, source.folder, stored(source.lines(*columns), "lines"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 

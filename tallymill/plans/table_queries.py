@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymill.operators import customers, sales, star
 from tallymill.plans import customer_queries, forecast_queries, sales_queries
 from tallymill.plans.batch import build_warehouse, run_batch, verify_warehouse
-from tallymill.plans.registry import Source, query
+from tallymill.plans.registry import Source, query, with_lines
 from tallymill.session import stored
 from tallymill.sources import publish, serving, tables
 
@@ -205,6 +205,10 @@ def contents_sql(*names: str) -> str:
 
 @query("publish_catalog", contents_sql(*publish.CATALOG))
 def publish_catalog(s: Source) -> DataFrame:
+    s = with_lines(
+        s, "order_id", "order_date", "region", "state", *customers.CUSTOMER, "product_id", "category",
+        "sub_category", "product_name", "sales", "quantity", "profit",
+    )
     root = s.scratch("published")
     names = publish.publish_catalog(
         {
