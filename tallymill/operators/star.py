@@ -107,7 +107,8 @@ def fact_sales(
 
     The joins carry no hints: a dimension is broadcast only while its measured
     size allows, and a key with very many lines is split by the adaptive skew
-    join. Places match null-safely. The date keys are computed from the dates;
+    join. Places and ship modes, the small dimensions with long attributes, come
+    first, so that what the others shuffle holds their keys. Places match null-safely. The date keys are computed from the dates;
     with ``cover='order'`` a ship date outside the order dates has no key.
     """
     customers = customers.select("customer_key", "customer_id")
@@ -124,15 +125,15 @@ def fact_sales(
 
     dated = lines.filter(ordered.isNotNull())
     return (
-        dated.join(customers, "customer_id")
-        .join(products, "product_id")
-        .join(places, _same(dated, places, PLACE))
+        dated.join(places, _same(dated, places, PLACE))
         .join(modes, "ship_mode")
         .withColumns({
             "order_date_key": date_key(ordered),
             "ship_date_key": ship_key,
             "order_year": F.year(ordered),
         })
+        .join(customers, "customer_id")
+        .join(products, "product_id")
         .select(*FACT)
     )
 
