@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallymill.functions.expressions import cents, month_start
 from tallymill.functions.unions import union_rows
 from tallymill.operators.quantiles import long_form, quantile_columns, value_counts
+from tallymill.session import stored
 
 
 def _rows(columns: Sequence[str], **fields) -> Column:
@@ -82,8 +83,17 @@ def rows_per_day(df: DataFrame, column: str) -> DataFrame:
 
 
 def profile_duplicates(df: DataFrame, pair: Sequence[str], ids: Sequence[str]) -> DataFrame:
-    """(measure, rows): repeated rows, repeated key pairs, distinct ids."""
-    whole = df.groupBy(*df.columns).count().agg(_surplus("duplicate_rows"))
+    """(measure, rows): repeated rows, repeated key pairs, distinct ids.
+
+    ``df`` is written once and read for each measure. A row that no other shares
+    its hash with is not repeated, so whole rows are compared only among the
+    others, whose hashes are counted and written first.
+    """
+    df = stored(df, "profiled")
+    alike = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+    hashes = stored(df.groupBy(alike.alias("_hash")).count().filter("count > 1").select("_hash"), "repeated-hashes")
+    likely = df.join(hashes, alike == F.col("_hash"), "left_semi")
+    whole = likely.groupBy(*df.columns).count().agg(_surplus("duplicate_rows"))
     pairs = df.groupBy(*pair).count().agg(_surplus("duplicate_" + "_".join(pair)))
     distinct = (
         long_form(df, ids, "string").filter("value IS NOT NULL").distinct()
