@@ -205,19 +205,20 @@ def contents_sql(*names: str) -> str:
 
 @query("publish_catalog", contents_sql(*publish.CATALOG))
 def publish_catalog(s: Source) -> DataFrame:
-    s = with_lines(
-        s, "order_id", "order_date", "region", "state", *customers.CUSTOMER, "product_id", "category",
-        "sub_category", "product_name", "sales", "quantity", "profit",
+    # only tables of the same joins share lines: others keep or repeat other lines where keys are odd
+    bought = with_lines(s, *customers.CUSTOMER, "order_id", "order_date", "sales")
+    sold = with_lines(
+        s, "product_id", "product_name", "category", "sub_category", "sales", "profit", "quantity"
     )
     root = s.scratch("published")
     names = publish.publish_catalog(
         {
             "monthly_revenue": sales_queries.monthly(s),
-            "revenue_by_category": sales_queries.categories(s),
+            "revenue_by_category": sales_queries.categories(sold),
             "revenue_by_region": sales_queries.places(s),
-            "top_products": sales.top_products(sales_queries.product_lines(s)),
-            "customer_rfm": customer_queries.rfm(s),
-            "customer_segments": customers.customer_segments(customer_queries.lines(s)),
+            "top_products": sales.top_products(sales_queries.product_lines(sold)),
+            "customer_rfm": customer_queries.rfm(bought),
+            "customer_segments": customers.customer_segments(customer_queries.lines(bought)),
             "sales_forecast": forecast_queries.forecast(s),
         },
         publish.file_sink(root),

@@ -9,11 +9,11 @@ from tallymill.plans.registry import Source
 from tallymill.sources.lines import order_lines
 
 
-def test_catalog_puts_its_lines_together_once(spark, folder, monkeypatch):
+def test_catalog_shares_lines_of_the_same_joins(spark, folder, monkeypatch):
     calls, real = [], Source.lines
     monkeypatch.setattr(Source, "lines", lambda self, *c: calls.append(c) or real(self, *c))
     assert QUERIES["publish_catalog"](spark, folder).count() == 7
-    assert len(calls) == 1
+    assert len(calls) == 5  # seven tables
 
 
 def test_fact_meets_the_small_dimensions_first(spark, folder):
