@@ -27,9 +27,11 @@ def rfm_base(lines: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     One row per id: of conflicting names or segments the smallest pair is
     kept, as in the customer dimension. Without ``as_of`` the days count back
     from the latest order of any customer, taken from the grouped rows, which
-    are written once for that.
+    are written once for that. Star lines are grouped by the surrogate key as
+    well, so that those dealt out by it in a join are not dealt out again.
     """
-    grouped = lines.groupBy("customer_id").agg(
+    keys = [c for c in ("customer_key", "customer_id") if c in lines.columns]
+    grouped = lines.groupBy(*keys).agg(
         F.min(F.struct(*ATTRIBUTES)).alias("_who"),
         F.max("order_date").alias("_last"),
         F.count_distinct("order_id").alias("frequency"),

@@ -108,8 +108,9 @@ def fact_sales(
     The joins carry no hints: a dimension is broadcast only while its measured
     size allows, and a key with very many lines is split by the adaptive skew
     join. Places and ship modes, the small dimensions with long attributes, come
-    first, so that what the others shuffle holds their keys. Places match null-safely. The date keys are computed from the dates;
-    with ``cover='order'`` a ship date outside the order dates has no key.
+    first, so that what the others shuffle holds their keys. Places match null-safely.
+    The date keys are computed from the dates, after the joins; with
+    ``cover='order'`` a ship date outside the order dates has no key.
     """
     customers = customers.select("customer_key", "customer_id")
     products = products.select("product_key", "product_id")
@@ -127,13 +128,13 @@ def fact_sales(
     return (
         dated.join(places, _same(dated, places, PLACE))
         .join(modes, "ship_mode")
+        .join(customers, "customer_id")
+        .join(products, "product_id")
         .withColumns({
             "order_date_key": date_key(ordered),
             "ship_date_key": ship_key,
             "order_year": F.year(ordered),
         })
-        .join(customers, "customer_id")
-        .join(products, "product_id")
         .select(*FACT)
     )
 
@@ -165,6 +166,15 @@ def star_lines(
     return lines
 
 
+def product_totals(fact: DataFrame) -> DataFrame:
+    """The fact summed per product, with the fact's column names.
+
+    Sums are exact, so any sum over products is the same from these.
+    """
+    amounts = ("sales", "profit", "quantity")
+    return fact.groupBy("product_key").agg(*(F.sum(c).alias(c) for c in amounts))
+
+
 def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Distinct fact keys that the dimension lacks."""
     return fact.select(key).distinct().join(dimension.select(key), key, "left_anti")

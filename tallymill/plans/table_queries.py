@@ -11,7 +11,7 @@ from tallymill.operators import customers, sales, star
 from tallymill.plans import customer_queries, forecast_queries, sales_queries
 from tallymill.plans.batch import build_warehouse, run_batch, verify_warehouse
 from tallymill.plans.registry import Source, query, with_lines
-from tallymill.session import stored
+from tallymill.session import DENSE, stored
 from tallymill.sources import publish, serving, tables
 
 # an order line with localised, untidy headers
@@ -93,7 +93,7 @@ def stage_typed(s: Source) -> DataFrame:
 
 
 def _raw_files(s: Source) -> DataFrame:
-    return stored(s.lines(), "raw")
+    return stored(s.lines(), "raw", **DENSE)
 
 
 @query("ingest_bronze", """

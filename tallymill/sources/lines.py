@@ -2,7 +2,8 @@
 
 ``order_lines`` joins only the tables that supply the requested columns. The
 order header (order, customer, nation, region) is put together first, so the
-much larger line table is shuffled once, on the order key.
+much larger line table is shuffled once, on the order key. Where it is shuffled
+on the part key as well, the names of nations and regions come after that.
 """
 
 from __future__ import annotations
@@ -71,6 +72,16 @@ def _number_lines(lines: DataFrame) -> DataFrame:
     return salted.withColumn("row_id", number)
 
 
+def _places(spark: SparkSession, folder: str, region: bool) -> DataFrame:
+    """One row per nation key, with its names; a key that repeats has several, in a fixed order."""
+    nation, names = source_table(spark, folder, "nation"), ["n_name"]
+    if region:
+        table = source_table(spark, folder, "region")
+        nation, names = nation.join(table, F.col("n_regionkey") == F.col("r_regionkey")), ["n_name", "r_name"]
+    found = F.array_sort(F.collect_list(F.struct(*names))).alias("_names")
+    return nation.groupBy("n_nationkey").agg(found)
+
+
 def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Order lines with the given columns, all of them by default.
 
@@ -79,16 +90,22 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """
     columns = columns or tuple(COLUMNS)
     needed = {COLUMNS[c][0] for c in columns}
-    lines = source_table(spark, folder, "lineitem")
+    lines = source_table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    places = None
     if needed & {"orders", "customer", "nation", "region"}:
-        header = source_table(spark, folder, "orders")
+        header = source_table(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
         if needed & {"customer", "nation", "region"}:
             customer = source_table(spark, folder, "customer")
             header = header.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        if needed & {"nation", "region"}:
+        if needed & {"nation", "region"} and "part" in needed:
+            # a row for each name, as the join gives, but the names themselves are put on last
+            places = _places(spark, folder, "region" in needed)
+            named = places.select("n_nationkey", F.explode(F.sequence(F.lit(1), F.size("_names"))).alias("_name"))
+            header = header.join(named, F.col("c_nationkey") == F.col("n_nationkey")).drop("c_nationkey")
+        elif needed & {"nation", "region"}:
             nation = source_table(spark, folder, "nation")
             header = header.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        if "region" in needed:
+        if "region" in needed and places is None:
             region = source_table(spark, folder, "region")
             header = header.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         lines = lines.join(header, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -97,4 +114,6 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     if "part" in needed:
         part = source_table(spark, folder, "part")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    if places is not None:
+        lines = lines.join(places, "n_nationkey").withColumn("_of", F.element_at("_names", F.col("_name"))).select("*", "_of.*")
     return lines.select(*(F.expr(COLUMNS[c][1]).alias(c) for c in columns))

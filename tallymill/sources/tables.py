@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tallymill.functions.expressions import typed
 from tallymill.functions.unions import union_rows
+from tallymill.session import DENSE, FREE_SHUFFLES, settings
 
 # Localised headers and the names they stand for.
 HEADER_NAMES = {
@@ -65,6 +66,10 @@ LINE_TYPES = {
 }
 
 
+# files that one task holds open in a partitioned write; rows of further values are sorted
+OPEN_FILES = 32
+
+
 def text_schema(columns: Sequence[str] = tuple(LINE_TYPES)) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -121,15 +126,24 @@ def write_table(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     format: str = "parquet",
+    large: bool = False,
 ) -> None:
     """Write a table, optionally in one folder per value of some columns.
 
     Rows are rebalanced on those columns first: few files per folder, and a
-    value with very many rows is still split over several tasks.
+    value with very many rows is still split over several tasks. A ``large``
+    table, whose rows come in large tasks as they are, is not shuffled for that:
+    a task writes a file for each of its values, up to ``OPEN_FILES`` side by
+    side, without sorting its rows.
     """
-    if partition_by:
+    conf = dict(FREE_SHUFFLES)
+    if large:
+        conf["spark.sql.maxConcurrentOutputFileWriters"] = str(OPEN_FILES)
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.format(format).mode(mode).partitionBy(*partition_by).save(path)
+    options = DENSE if large and format == "parquet" else {}
+    with settings(df.sparkSession, conf):
+        df.write.format(format).options(**options).mode(mode).partitionBy(*partition_by).save(path)
 
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -146,7 +160,8 @@ def ingest_bronze(
 ) -> DataFrame:
     """Store raw rows with their lineage and return the stored table.
 
-    ``raw`` is a file scan, so each row knows its file. The rows are counted
+    ``raw`` is a file scan, so each row knows its file, and its tasks are large
+    enough to write from, without a shuffle of whole rows. The rows are counted
     by the write itself and must all be in the table afterwards.
     """
     seen, now = Observation(), F.lit(dt.datetime.now(dt.timezone.utc))
@@ -155,7 +170,7 @@ def ingest_bronze(
         "_source_file": F.col("_metadata.file_path"),
         "_layer": F.lit("bronze"),
     }).observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_table(lineage, path, partition_by, mode, format)
+    write_table(lineage, path, partition_by, mode, format, large=True)
     table = read_table(spark, path, format)
     ours = table.filter(F.col("_ingested_at") == now).agg(F.count(F.lit(1))).first()[0]
     if ours != seen.get["rows"]:
