@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.operators import customers, forecasting, marts, quality, sales, star
-from tallymill.session import stored
+from tallymill.session import FREE_SHUFFLES, settings, stored
 from tallymill.sources import serving
 from tallymill.sources.publish import CATALOG
 from tallymill.sources.tables import ingest_bronze, read_table, write_table
@@ -112,7 +112,8 @@ def run_batch(
     the version before. Returns the built tables; the published ones as served.
     """
     built = build_warehouse(spark, raw, root, top_n)
-    failed = verify_warehouse(built).filter("NOT passed").select("check_name", "table_name").collect()
+    with settings(spark, FREE_SHUFFLES):
+        failed = verify_warehouse(built).filter("NOT passed").select("check_name", "table_name").collect()
     if failed:
         raise RuntimeError(f"not published: {[tuple(r) for r in failed]}")
     built |= build_models(spark, built, root, models)

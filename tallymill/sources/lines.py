@@ -72,14 +72,22 @@ def _number_lines(lines: DataFrame) -> DataFrame:
     return salted.withColumn("row_id", number)
 
 
-def _places(spark: SparkSession, folder: str, region: bool) -> DataFrame:
-    """One row per nation key, with its names; a key that repeats has several, in a fixed order."""
-    nation, names = source_table(spark, folder, "nation"), ["n_name"]
-    if region:
-        table = source_table(spark, folder, "region")
-        nation, names = nation.join(table, F.col("n_regionkey") == F.col("r_regionkey")), ["n_name", "r_name"]
-    found = F.array_sort(F.collect_list(F.struct(*names))).alias("_names")
-    return nation.groupBy("n_nationkey").agg(found)
+def _listed(table: DataFrame, key: str, *columns: str) -> DataFrame:
+    """One row per key, with the columns of its rows in a fixed order; a key that repeats has several."""
+    return table.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(f"_{key}"))
+
+
+def _join_place(header: DataFrame, key: str, listed: DataFrame, to: str, *columns: str) -> DataFrame:
+    """The join with the listed table of key ``to``; of its rows, only their places in the lists and ``columns``."""
+    each = listed.select(to, F.posexplode(f"_{to}").alias(f"_at_{to}", "_row"))
+    each = each.select(to, f"_at_{to}", *(f"_row.{c}" for c in columns))
+    return header.join(each, F.col(key) == F.col(to))
+
+
+def _put_on(lines: DataFrame, key: str, listed: DataFrame, to: str) -> DataFrame:
+    """The columns of the listed row whose place ``_join_place`` found."""
+    found = lines.join(listed.withColumnRenamed(to, "_key"), F.col(key) == F.col("_key"))
+    return found.withColumn("_row", F.col(f"_{to}")[F.col(f"_at_{to}")]).select(*lines.columns, "_row.*")
 
 
 def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -91,29 +99,34 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     columns = columns or tuple(COLUMNS)
     needed = {COLUMNS[c][0] for c in columns}
     lines = source_table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
-    places = None
+    places = needed & {"nation", "region"} if "part" in needed else set()
     if needed & {"orders", "customer", "nation", "region"}:
         header = source_table(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
         if needed & {"customer", "nation", "region"}:
             customer = source_table(spark, folder, "customer")
             header = header.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        if needed & {"nation", "region"} and "part" in needed:
-            # a row for each name, as the join gives, but the names themselves are put on last
-            places = _places(spark, folder, "region" in needed)
-            named = places.select("n_nationkey", F.explode(F.sequence(F.lit(1), F.size("_names"))).alias("_name"))
-            header = header.join(named, F.col("c_nationkey") == F.col("n_nationkey")).drop("c_nationkey")
-        elif needed & {"nation", "region"}:
+        if needed & {"nation", "region"}:
             nation = source_table(spark, folder, "nation")
-            header = header.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        if "region" in needed and places is None:
+            if places:  # the rows of the join, but the names themselves are put on last
+                nations = _listed(nation, "n_nationkey", "n_name", "n_regionkey")
+                header = _join_place(header, "c_nationkey", nations, "n_nationkey", "n_regionkey")
+            else:
+                header = header.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        if "region" in needed:
             region = source_table(spark, folder, "region")
-            header = header.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+            if places:
+                regions = _listed(region, "r_regionkey", "r_name")
+                header = _join_place(header, "n_regionkey", regions, "r_regionkey")
+            else:
+                header = header.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         lines = lines.join(header, F.col("l_orderkey") == F.col("o_orderkey"))
     if "numbering" in needed:  # after the join by order, so it finds the lines dealt by order already
         lines = _number_lines(lines)
     if "part" in needed:
         part = source_table(spark, folder, "part")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    if places is not None:
-        lines = lines.join(places, "n_nationkey").withColumn("_of", F.element_at("_names", F.col("_name"))).select("*", "_of.*")
+    if places:
+        lines = _put_on(lines.drop("n_regionkey"), "n_nationkey", nations, "n_nationkey")
+    if "region" in places:
+        lines = _put_on(lines, "n_regionkey", regions, "r_regionkey")
     return lines.select(*(F.expr(COLUMNS[c][1]).alias(c) for c in columns))

@@ -97,7 +97,7 @@ def test_names_of_nations_come_last_and_keys_may_repeat(spark, folder, tmp_path)
     assert rows(lines.drop("row_id")) == rows(plain_lines(spark, str(tmp_path), *(c for c in COLUMNS if c != "row_id")))
     assert lines.groupBy("order_id", "row_id").count().filter("count > 1").isEmpty()
     text = plan(lines)
-    assert text.index("[n_nationkey") < text.index("[l_partkey")  # the last join is the first of the plan
+    assert text.index("[n_regionkey") < text.index("[n_nationkey") < text.index("[l_partkey")  # the last join is the first of the plan
     some = ("state", "postal_code", "category")
     assert rows(order_lines(spark, str(tmp_path), *some)) == rows(plain_lines(spark, str(tmp_path), *some, region=False))
 
@@ -143,3 +143,23 @@ def test_the_warehouse_is_the_same_from_totals(spark, folder):
     assert rows(built["revenue_by_category"]) == rows(sales.revenue_by_category(by_product))
     assert rows(built["top_products"]) == rows(sales.top_products(by_product))
     assert batch.verify_warehouse(built).filter("NOT passed").isEmpty()
+
+
+def test_the_checks_of_a_run_leave_no_shuffle_files(spark, folder, monkeypatch):
+    raw = stored(order_lines(spark, folder).filter("order_id % 20 = 1"), "raw")
+    seen, real = [], batch.verify_warehouse
+
+    def verify(built):
+        seen.append(shuffle_files(spark))
+        return real(built)
+
+    def stop(*_):
+        for _ in range(50):
+            if not shuffle_files(spark) - seen[0]:
+                raise InterruptedError
+            time.sleep(0.1)
+
+    monkeypatch.setattr(batch, "verify_warehouse", verify)
+    monkeypatch.setattr(batch, "build_models", stop)
+    with pytest.raises(InterruptedError):
+        batch.run_batch(spark, raw, scratch_path(spark, "run"), dt.datetime(2024, 1, 31))
